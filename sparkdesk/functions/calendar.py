@@ -53,7 +53,7 @@ def period_from_text(col: Column | str) -> tuple[Column, Column]:
     )
 
 
-def is_session_open(ts_utc: Column | str, zone: str = "Asia/Seoul", start: str = "09:00", end: str = "15:30") -> Column:
+def is_session_open(ts_utc: Column | str, zone: str = "+09:00", start: str = "09:00", end: str = "15:30") -> Column:
     """Weekday inside trading hours, outside 1 May and 31 December; holidays are joined away."""
     local = F.from_utc_timestamp(_c(ts_utc), zone)
     day = F.date_format(local, "MM-dd")

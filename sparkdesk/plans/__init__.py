@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("demand",)
+_MODULES = ("demand", "panels", "companies")
 
 
 def load_all() -> None:
