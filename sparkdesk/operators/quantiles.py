@@ -1,4 +1,4 @@
-"""Exact quantiles without gathering a group in one task.
+"""Exact order statistics without gathering a group in one task.
 
 Equal values are counted before the shuffle; a histogram per group then says which narrow value
 range holds each wanted rank, and only those ranges are ordered.
@@ -6,67 +6,68 @@ range holds each wanted rank, and only those ranges are ordered.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+Rank = Callable[[Column], Column]
 
-def _with_bucket(counts: DataFrame, bounds: DataFrame, groups: list[str], buckets: int) -> DataFrame:
-    span = F.col("_hi") - F.col("_lo")
-    slot = F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(span, F.lit(0.0)) * buckets), F.lit(buckets - 1))
-    joined = counts.join(bounds.select(*groups, "_lo", "_hi"), groups)
-    return joined.select(*groups, "_v", "_n", F.coalesce(slot, F.lit(0)).alias("_b"))
 
+def values_at_ranks(df: DataFrame, groups: list[str], value: str, ranks: Sequence[Rank], buckets: int = 4096) -> DataFrame:
+    """Values at 0-based ranks of each group: columns ``v0``, ``v1``, ... and the group size ``n``.
 
-def exact_quantiles(
-    df: DataFrame, groups: list[str], value: str, probs: Sequence[float], names: Sequence[str], buckets: int = 4096
-) -> DataFrame:
-    """Linearly interpolated quantiles per group, one column per probability, plus the count ``n``.
-
-    With no groups the result has a single row.
+    Each rank is a function of the group size. A rank outside 0..n-1 gives null.
     """
-    keys = groups or ["_all"]
-    src = df.where(F.col(value).isNotNull()).select(
-        *([F.col(g) for g in groups] or [F.lit(1).alias("_all")]), F.col(value).cast("double").alias("_v")
-    )
-    counts = src.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    bounds = counts.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("n"))
-    placed = _with_bucket(counts, bounds, keys, buckets)
-
-    per_bucket = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    before = F.sum("_bn").over(W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
+    src = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
+    counts = src.groupBy(*groups, "_v").agg(F.count("*").alias("_n"))
+    bounds = counts.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("n"))
+    span = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    slot = F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets), F.lit(buckets - 1))
+    placed = counts.join(bounds, groups).select(*groups, "_v", "_n", F.coalesce(slot, F.lit(0)).alias("_b"))
+
+    per_bucket = placed.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
+    before = F.sum("_bn").over(W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
     per_bucket = per_bucket.withColumn("_before", F.coalesce(before, F.lit(0)))
 
-    def rank(p: float) -> Column:
-        return F.lit(p) * (F.col("n") - 1)
-
     wanted = F.array(*[
-        F.struct(F.lit(i).alias("_q"), F.lit(side).alias("_side"), fn(rank(p)).cast("bigint").alias("_r"))
-        for i, p in enumerate(probs) for side, fn in (("lo", F.floor), ("hi", F.ceil))
+        F.struct(F.lit(i).alias("_q"), fn(F.col("n")).cast("bigint").alias("_r")) for i, fn in enumerate(ranks)
     ])
-    targets = bounds.select(*keys, F.inline(wanted))
-    hits = targets.join(per_bucket, keys).where(
+    targets = bounds.select(*groups, F.inline(wanted))
+    hits = targets.join(per_bucket, groups).where(
         (F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_bn"))
-    ).select(*keys, "_q", "_side", "_b", (F.col("_r") - F.col("_before")).alias("_r"))
+    ).select(*groups, "_q", "_b", (F.col("_r") - F.col("_before")).alias("_r"))
 
-    inside = W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    narrowed = placed.join(hits.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi").withColumn(
+    inside = W.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+    narrowed = placed.join(hits.select(*groups, "_b").distinct(), [*groups, "_b"], "left_semi").withColumn(
         "_from", F.coalesce(F.sum("_n").over(inside), F.lit(0))
     )
-    found = hits.join(narrowed, [*keys, "_b"]).where(
+    found = hits.join(narrowed, [*groups, "_b"]).where(
         (F.col("_from") <= F.col("_r")) & (F.col("_r") < F.col("_from") + F.col("_n"))
-    )
-    pick = lambda i, side: F.max(F.when((F.col("_q") == i) & (F.col("_side") == side), F.col("_v")))
-    cols = [pick(i, s).alias(f"_{s}{i}") for i in range(len(probs)) for s in ("lo", "hi")]
-    out = found.groupBy(*keys).agg(*cols).join(bounds.select(*keys, "n"), keys)
-    frac = lambda p: rank(p) - F.floor(rank(p))
-    return out.select(
-        *groups, "n",
-        *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac(p)).alias(nm)
-          for i, (p, nm) in enumerate(zip(probs, names))],
-    )
+    ).groupBy(*groups).agg(*[F.max(F.when(F.col("_q") == i, F.col("_v"))).alias(f"v{i}") for i in range(len(ranks))])
+    return bounds.select(*groups, "n").join(found, groups, "left")
+
+
+def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequence[float], names: Sequence[str],
+                    buckets: int = 4096) -> DataFrame:
+    """Linearly interpolated quantiles per group, one column per probability, plus the count ``n``.
+
+    With no groups the result has a single row.
+    """
+    keys = groups or ["_all"]
+    src = df if groups else df.withColumn("_all", F.lit(1))
+    place = lambda p: (lambda n: F.lit(p) * (n - 1))
+    ranks: list[Rank] = []
+    for p in probs:
+        ranks += [lambda n, f=place(p): F.floor(f(n)), lambda n, f=place(p): F.ceil(f(n))]
+    vals = values_at_ranks(src, keys, value, ranks, buckets)
+    cols = []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        at = place(p)(F.col("n"))
+        lo, hi = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        cols.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
+    return vals.select(*groups, "n", *cols)
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median") -> DataFrame:
@@ -81,3 +82,20 @@ def describe(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     )
     quart = exact_quantiles(df, groups, value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"]).drop("n")
     return basics.join(quart, groups)
+
+
+def seeded_order(key: Column, seed: int) -> Column:
+    """A reproducible pseudo-random number in 0..2^52 per key, the same in every run and engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
+def first_in_seeded_order(df: DataFrame, groups: list[str], key: str, size: Rank, seed: int, flag: str = "chosen") -> DataFrame:
+    """Flag the ``size(n)`` rows of each group that come first in seeded order.
+
+    The cut-off value is found as an order statistic, so no group is sorted as a whole.
+    """
+    ranked = df.withColumn("_h", seeded_order(F.col(key), seed))
+    cut = values_at_ranks(ranked, groups, "_h", [lambda n: F.least(size(n), n) - 1], buckets=65536)
+    joined = ranked.join(cut.select(*groups, F.col("v0").cast("bigint").alias("_cut")), groups)
+    return joined.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_h", "_cut")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("demand", "panels", "companies")
+_MODULES = ("demand", "panels", "companies", "corpus", "datasets")
 
 
 def load_all() -> None:
