@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("demand", "panels", "companies", "corpus", "datasets", "retrieval")
+_MODULES = ("demand", "panels", "companies", "corpus", "datasets", "retrieval", "clusters", "hypotheses")
 
 
 def load_all() -> None:
