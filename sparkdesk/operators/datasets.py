@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkdesk.operators.quantiles import first_in_seeded_order
+from sparkdesk.operators.quantiles import first_in_seeded_order, whole_table
 
 # Label -> questions asked about a report of that kind, and the system line of chat rows.
 QUESTIONS = {
@@ -100,7 +100,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
 
 def random_split(df: DataFrame, key: str, test_share: float = 0.1, seed: int = 42) -> DataFrame:
     """Deterministic split of the whole table."""
-    out = first_in_seeded_order(df.withColumn("_all", F.lit(1)), ["_all"], key, lambda n: F.ceil(n * test_share), seed)
+    out = first_in_seeded_order(df.withColumn("_all", whole_table(key)), ["_all"], key, lambda n: F.ceil(n * test_share), seed)
     return out.withColumn("part", F.when(F.col("chosen"), "test").otherwise("train")).drop("chosen", "_all")
 
 

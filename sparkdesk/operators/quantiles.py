@@ -49,6 +49,11 @@ def values_at_ranks(df: DataFrame, groups: list[str], value: str, ranks: Sequenc
     return bounds.select(*groups, "n").join(found, groups, "left")
 
 
+def whole_table(column: str) -> Column:
+    """The same key for every row; computed, so that joins on it stay joins on a key."""
+    return F.pmod(F.xxhash64(column), F.lit(1))
+
+
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequence[float], names: Sequence[str],
                     buckets: int = 4096) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability, plus the count ``n``.
@@ -56,7 +61,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequenc
     With no groups the result has a single row.
     """
     keys = groups or ["_all"]
-    src = df if groups else df.withColumn("_all", F.lit(1))
+    src = df if groups else df.withColumn("_all", whole_table(value))
     place = lambda p: (lambda n: F.lit(p) * (n - 1))
     ranks: list[Rank] = []
     for p in probs:

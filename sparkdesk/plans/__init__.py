@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("demand", "panels", "companies", "corpus", "datasets", "retrieval", "clusters", "hypotheses")
+_MODULES = ("demand", "panels", "companies", "corpus", "datasets", "retrieval", "clusters", "hypotheses", "files", "streams")
 
 
 def load_all() -> None:
