@@ -166,5 +166,7 @@ def keyword_recall(truth: Column, context: Column) -> Column:
 
 
 def tokens(text: Column | str) -> Column:
-    """Words split on white space, as the keyword retriever sees them."""
-    return F.filter(F.split(_c(text), rf"{_SPACE}+"), lambda w: w != "")
+    """Words split on white space, exactly as Python's ``str.split`` does."""
+    gap = r"[\s\p{Z}\x1c-\x1f\x85]+"
+    t = F.regexp_replace(_c(text), f"^{gap}|{gap}$", "")
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, gap))

@@ -171,7 +171,8 @@ def score_companies(df: DataFrame) -> DataFrame:
                                  c("net_income"), c("prev_net_income")),
         "stability": S.stability_block(c("total_equity"), c("pbr"), c("roe"), c("operating_income"), c("net_income")),
     }
-    out = df.select("*", *[b.alias(f"_{k}") for k, b in blocks.items()])
+    # a generator over one row: each block is evaluated once, however often it is read below
+    out = df.select("*", F.inline(F.array(F.struct(*[b.alias(f"_{k}") for k, b in blocks.items()]))))
     total = F.least(F.greatest(sum((c(f"_{k}.score") for k in blocks), F.lit(0)), F.lit(0)), F.lit(100))
     reasons = F.slice(F.concat(*[F.slice(c(f"_{k}.reasons"), 1, 2) for k in blocks]), 1, 6)
     rate = lambda cur: F.bround(yoy(cur, f"prev_{cur}"), 2)

@@ -40,7 +40,8 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def scan_top_k(docs: DataFrame, doc_id: str, queries: DataFrame, query_id: str,
-               make_scorer: Callable[[pd.DataFrame], Scorer], k: int, query_limit: int = QUERY_LIMIT) -> DataFrame:
+               make_scorer: Callable[[pd.DataFrame], Scorer], k: int, query_limit: int = QUERY_LIMIT,
+               block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Best k documents per query: (query_id, doc_id, score, rank).
 
     ``make_scorer(queries)`` returns a function from a batch of documents to a documents x queries
@@ -73,17 +74,18 @@ def scan_top_k(docs: DataFrame, doc_id: str, queries: DataFrame, query_id: str,
         partial = docs.mapInPandas(lambda it: scan(local, it), schema)
     else:
         n_docs, n_queries = docs.count(), queries.count()
-        parts, blocks = max(1, -(-n_docs // BLOCK_DOCS)), -(-n_queries // query_limit)
+        parts, blocks = max(1, -(-n_docs // block_docs)), -(-n_queries // query_limit)
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         at = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
         left = docs.withColumn("_part", at(doc_id, parts)).withColumn("_block", spread(blocks))
         right = queries.withColumn("_block", at(query_id, blocks)).withColumn("_part", spread(parts))
+        right = right.select(*[F.col(c).alias(f"q_{c}") for c in right.columns])
 
         def meet(d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-            out = list(scan(q, iter([d]))) if len(q) else []
+            out = list(scan(q.rename(columns=lambda c: c[2:]), iter([d]))) if len(q) else []
             return pd.concat(out) if out else pd.DataFrame({query_id: [], doc_id: [], "score": []})
 
-        partial = left.groupBy("_part", "_block").cogroup(right.groupBy("_part", "_block")).applyInPandas(meet, schema)
+        partial = left.groupBy("_part", "_block").cogroup(right.groupBy("q__part", "q__block")).applyInPandas(meet, schema)
     w = W.partitionBy(query_id).orderBy(F.round("score", 6).desc(), doc_id)
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -96,7 +98,7 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, threshold: float | None = None, query_id: str = "query_id",
-                 doc_id: str = "doc_id", vector: str = "embedding", filters: Sequence[str] = ()) -> DataFrame:
+                 doc_id: str = "doc_id", vector: str = "embedding", filters: Sequence[str] = (), **limits: int) -> DataFrame:
     """k nearest documents by cosine similarity (V1), with equality filters per query (V2) and a cut-off (V3).
 
     A filter column exists on both sides; a null on the query side means no filter.
@@ -117,7 +119,7 @@ def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, threshold: flo
         return score
 
     usable = docs.where(F.col(vector).isNotNull()).select(doc_id, vector, *names)
-    hits = scan_top_k(usable, doc_id, queries.select(query_id, vector, *names), query_id, make, k)
+    hits = scan_top_k(usable, doc_id, queries.select(query_id, vector, *names), query_id, make, k, **limits)
     hits = hits.withColumnRenamed("score", "similarity")
     return hits if threshold is None else hits.where(F.col("similarity") >= threshold)
 
@@ -154,12 +156,12 @@ def approximate_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, max_dista
 
 # --- keywords -----------------------------------------------------------------------------------------
 def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int = 4, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25,
-               query_id: str = "query_id", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+               query_id: str = "query_id", doc_id: str = "doc_id", text: str = "text", **limits: int) -> DataFrame:
     """BM25 ranking of documents for text queries (V5).
 
     Words more frequent than in half of the documents get ``epsilon`` times the mean idf.
     """
-    words = docs.select(doc_id, tokens(text).alias("words"))
+    words = docs.where(F.col(text).isNotNull()).select(tokens(text).alias("words"))
     size = words.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("words")).alias("avgdl")).alias("s")).scalar()
     df = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     raw = df.select("term", (F.log(size["n"] - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))
@@ -184,7 +186,7 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int = 4, k1: float = 1.5,
 
         def score(d: pd.DataFrame) -> np.ndarray:
             out = np.zeros((len(d), len(q)))
-            for i, ws in enumerate(d["words"]):
+            for i, ws in enumerate(map(str.split, d[text])):
                 at = [vocab[w] for w in ws if w in vocab]
                 if at:
                     terms, tf = np.unique(at, return_counts=True)
@@ -194,7 +196,8 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int = 4, k1: float = 1.5,
 
         return score
 
-    return scan_top_k(words, doc_id, payload, query_id, make, k)
+    usable = docs.where(F.col(text).isNotNull()).select(doc_id, text)
+    return scan_top_k(usable, doc_id, payload, query_id, make, k, **limits)
 
 
 def fuse_ranks(lists: Sequence[tuple[DataFrame, float]], query_id: str = "query_id", doc_id: str = "doc_id", c: int = 60) -> DataFrame:

@@ -33,13 +33,13 @@ def raw_daily(t):
 
 def hourly_wide(t, hours=D.HOURS):
     """Hourly table as the wide month file: two text columns per hour, '775.0' style numbers."""
-    cell = lambda v: F.first(F.format_string("%.1f", F.col(v).cast("double")))
-    wide = t.hourly.groupBy("use_mm", "line", "station").pivot("hour", list(hours)).agg(
-        cell("ride_num").alias("GET_ON_NOPE"), cell("alight_num").alias("GET_OFF_NOPE")
-    )
+    cell = lambda v, h, name: F.sum(F.when(F.col("hour") == h, F.col(v))).alias(f"{h}_{name}")
+    wide = t.hourly.groupBy("use_mm", "line", "station").agg(*[
+        cell(v, h, name) for h in hours for v, name in (("ride_num", "GET_ON_NOPE"), ("alight_num", "GET_OFF_NOPE"))])
+    text = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.col(c).cast("string"), F.lit(".0")))
     return wide.select(
         F.col("use_mm").alias("USE_MM"), F.col("line").alias("SBWY_ROUT_LN_NM"), F.col("station").alias("STTN"),
-        *[F.col(f"{h}_{k}").alias(f"HR_{h}_{k}") for h in hours for k in ("GET_ON_NOPE", "GET_OFF_NOPE")],
+        *[text(f"{h}_{k}").alias(f"HR_{h}_{k}") for h in hours for k in ("GET_ON_NOPE", "GET_OFF_NOPE")],
     )
 
 

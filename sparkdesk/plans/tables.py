@@ -10,15 +10,19 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkdesk.session import materialize
+from sparkdesk.session import materialize, spread
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Tables whose rows are long texts: per-row work, not reading, is what takes the time.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
 # Statement account names and ids, in display order (fixed values).
 STATEMENT_ACCOUNTS = (
     ("revenue", "매출액", "ifrs-full_Revenue"),
@@ -45,6 +49,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name in TEXT_TABLES:
+            return spread(self.read(name))
         if name in TABLE_NAMES:
             return self.read(name)
         raise AttributeError(name)
@@ -189,10 +195,10 @@ class Tables:
     def statement_lines(self) -> DataFrame:
         """Long dirty statement rows: grouped digits, losses in parentheses, prior year beside it."""
         keys = [k for k, _, _ in STATEMENT_ACCOUNTS]
-        cur = self.accounts_wide
-        prev = cur.select(
-            "corp_code", (F.col("year") + 1).alias("year"), *[F.col(k).alias(f"prev_{k}") for k in keys]
-        )
+        # a company has one row per year, so its window is a handful of rows; no second pass over the facts
+        by_year = W.partitionBy("corp_code").orderBy("year")
+        follows = F.lag("year").over(by_year) == F.col("year") - 1
+        cur = self.accounts_wide.select("*", *[F.when(follows, F.lag(k).over(by_year)).alias(f"prev_{k}") for k in keys])
 
         def text(c: str) -> Column:
             v = F.col(c)
@@ -209,7 +215,7 @@ class Tables:
             )
             for i, (k, nm, aid) in enumerate(STATEMENT_ACCOUNTS)
         ])
-        return cur.join(prev, ["corp_code", "year"], "left").select("corp_code", "year", F.inline(rows))
+        return cur.select("corp_code", "year", F.inline(rows))
 
     @cached_property
     def prices(self) -> DataFrame:
