@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.tails import f_pvalue, range_pvalue, t_pvalue
 from sparkdesk.operators.quantiles import exact_median
+from sparkdesk.session import materialize
 
 
 def moments(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -39,7 +40,7 @@ def anova(df: DataFrame, group: str, value: str, with_p: bool = True) -> DataFra
 
 def levene(df: DataFrame, group: str, value: str, with_p: bool = True) -> DataFrame:
     """Equality of variances: analysis of variance of the distances from the group medians."""
-    middles = exact_median(df, [group], value).select(group, "median")
+    middles = materialize(exact_median(df, [group], value).select(group, "median"), "medians")  # one row per group
     spread = df.join(middles, group).select(group, F.abs(F.col(value) - F.col("median")).alias("spread"))
     return anova(spread, group, "spread", with_p)
 

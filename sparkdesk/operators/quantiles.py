@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkdesk.session import materialize
+
 Rank = Callable[[Column], Column]
 
 
@@ -102,5 +104,7 @@ def first_in_seeded_order(df: DataFrame, groups: list[str], key: str, size: Rank
     """
     ranked = df.withColumn("_h", seeded_order(F.col(key), seed))
     cut = values_at_ranks(ranked, groups, "_h", [lambda n: F.least(size(n), n) - 1], buckets=65536)
-    joined = ranked.join(cut.select(*groups, F.col("v0").cast("bigint").alias("_cut")), groups)
+    # one row per group, stored: its true size decides whether the join broadcasts it
+    cut = materialize(cut.select(*groups, F.col("v0").cast("bigint").alias("_cut")), "cut")
+    joined = ranked.join(cut, groups)
     return joined.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_h", "_cut")

@@ -69,8 +69,8 @@ def scan_top_k(docs: DataFrame, doc_id: str, queries: DataFrame, query_id: str,
             if len(ids):
                 yield pd.DataFrame({query_id: name, doc_id: ids, "score": scores})
 
-    if queries.limit(query_limit + 1).count() <= query_limit:
-        local = queries.toPandas()  # size checked on the line above
+    local = queries.limit(query_limit + 1).toPandas()  # never more than the limit and one
+    if len(local) <= query_limit:
         partial = docs.mapInPandas(lambda it: scan(local, it), schema)
     else:
         n_docs, n_queries = docs.count(), queries.count()

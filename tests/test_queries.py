@@ -17,8 +17,11 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, sf_dir, con, name):
-    ok, note = compare(QUERIES[name](spark, sf_dir), con, ORACLES[name])
+    df = QUERIES[name](spark, sf_dir)
+    ok, note = compare(df, con, ORACLES[name])
     assert ok, note
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ORACLES and not n.startswith(SLOW)))
@@ -26,12 +29,6 @@ def test_runs_without_sql(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(n for n in ORACLES if not n.startswith(("s", "r0"))))
-def test_no_cross_join(spark, sf_dir, name):
-    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_scan_prunes_and_filters(spark, sf_dir):
     from sparkdesk.operators.demand import where_equal
     from sparkdesk.plans.tables import Tables
