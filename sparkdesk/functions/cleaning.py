@@ -21,9 +21,10 @@ def finite(col: Column) -> Column:
 
 
 def fixed(col: Column | str, digits: int) -> Column:
-    """Number with a fixed count of decimals, half to even; null stays null."""
-    v = F.bround(_c(col).cast("double"), digits)
-    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v))
+    """Number with a fixed count of decimals, half to even; null stays null, a small loss shows as -0.0."""
+    v = _c(col).cast("double")
+    text = F.format_string(f"%.{digits}f", F.bround(F.abs(v), digits))
+    return F.when(v.isNotNull(), F.concat(F.when(v < 0, "-").otherwise(""), text))
 
 
 def clean_number(col: Column | str, every_dash: bool = False) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions import scoring as S
 from sparkdesk.functions import tails
-from sparkdesk.functions.cleaning import clean_number, parse_money
+from sparkdesk.functions.cleaning import clean_number, fixed, parse_money
 from sparkdesk.operators import clusters as K
 from sparkdesk.operators import hypotheses as H
 from sparkdesk.operators import quantiles as Q
@@ -110,6 +110,11 @@ def test_dirty_numbers(spark):
                    (None, None, None), (None, None, 3000.0), (None, None, None)]
 
 
+def test_fixed_decimals_keep_the_sign(spark):
+    df = spark.createDataFrame([(-0.04,), (0.04,), (2.25,), (-2.35,), (None,)], "v double")
+    assert [r[0] for r in df.select(fixed("v", 1)).collect()] == ["-0.0", "0.0", "2.2", "-2.4", None]
+
+
 def test_score_edges(spark):
     df = spark.createDataFrame([(8.0, 1.0, 20.0, 5.0), (25.1, 3.6, -1.0, -5.0), (None, None, None, None)], "per double, pbr double, roe double, ni double")
     c = F.col
