@@ -7,7 +7,7 @@ for can't link. Survivors are verified on their whole shingle sets.
 1. A profile per document: set size, set id, point, and the first shingles in a fixed order. Documents of the asked
    similarity share one of those, so each such shingle is a block and documents alone in all their blocks are done.
 2. Each member of a block is held against the block's first one: bound, then verification. A block of thousands of near
-   copies costs one pair each, and becomes one component.
+   copies costs one pair each, and becomes one component or a few; a few turns hold one member of each against another.
 3. Blocks that still hold several components are searched with an R-tree for pairs across components; those are verified too.
 4. Components of all links; members of one component need no further pairs, so no link between different texts is lost.
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,8 +32,12 @@ from sparkdesk.session import materialize
 
 WIDTH = 5
 PERCENT = 75
-GROUPS = 128
-MOST = 65535  # a count that doesn't fit stands for "any number"
+PER_GROUP = 2  # shingles per group of a point, at most
+LEAST_GROUPS = 64
+MOST = 255  # a count that doesn't fit stands for "any number"
+ANY = 60_000
+TURNS = 1
+SIZE_STEP = 1.1  # sizes in one class differ by less
 SAMPLE_DOCS = 4096  # documents whose shingles decide which ones are common
 COMMON_SHARE = 200  # common: in more than one of so many sampled documents
 COMMON_MOST = 65_536
@@ -59,8 +63,28 @@ def lead_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def point(found: np.ndarray, groups: int) -> np.ndarray:
-    return np.minimum(np.bincount((found % np.uint64(groups)).astype(np.int64), minlength=groups), MOST).astype(np.uint16)
+def point(found: np.ndarray) -> np.ndarray:
+    """Counts per group. The number of groups is the power of two that keeps them small; a larger point folds to a smaller one."""
+    groups = max(LEAST_GROUPS, 1 << max(0, (len(found) - 1) // PER_GROUP).bit_length())
+    return np.minimum(np.bincount((found & np.uint64(groups - 1)).astype(np.int64), minlength=groups), MOST).astype(np.uint8)
+
+
+def counts_of(stored: bytes, groups: int) -> np.ndarray:
+    """A stored point folded to ``groups`` counts."""
+    counts = np.frombuffer(stored, np.uint8).astype(np.uint16)
+    counts[counts == MOST] = ANY
+    return np.minimum(counts.reshape(-1, groups).sum(axis=0, dtype=np.int64), ANY).astype(np.uint16)
+
+
+def set_id(found: np.ndarray) -> int:
+    """An id of a set; its last byte is the class of its size."""
+    code = min(255, int(np.log(len(found)) / np.log(SIZE_STEP)))
+    value = int(mix(np.array([mix(found).sum(dtype=np.uint64) + np.uint64(len(found))]))[0])
+    return int(np.uint64((value & ~0xFF) | code).astype(np.int64))
+
+
+def _size_class(sid: Column) -> Column:
+    return sid.bitwiseAND(F.lit(255))
 
 
 def linked(shared: int | np.ndarray, n: int | np.ndarray, m: int | np.ndarray, percent: int):
@@ -75,9 +99,7 @@ class CountTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         self.order = np.lexsort((points.argmax(axis=1), sizes))
-        self.sizes, points = sizes[self.order], points[self.order].astype(np.int32)
-        points[points == MOST] = np.iinfo(np.int32).max >> 12
-        self.tops, self.least, self.largest = [points], [self.sizes], [self.sizes]
+        self.tops, self.least, self.largest = [points[self.order]], [sizes[self.order]], [sizes[self.order]]
         while len(self.tops[-1]) > 1:
             cut = np.arange(0, len(self.tops[-1]), FANOUT)
             self.tops.append(np.maximum.reduceat(self.tops[-1], cut))
@@ -91,8 +113,9 @@ class CountTree:
         shared = np.minimum(self.tops[level][a], self.tops[level][b]).sum(axis=1, dtype=np.int64)
         return fits & (shared * (100 + percent) >= percent * (small[a] + small[b]))
 
-    def pairs(self, percent: int, step: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows (each once) that the bounds leave, by a joint descent in pieces of ``step`` node pairs."""
+    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows (each once) that the bounds leave, by a joint descent in pieces of bounded size."""
+        step = max(64, (2 << 20) // self.tops[0].shape[1])
         todo = [(len(self.tops) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while todo:
             level, a, b = todo.pop()
@@ -129,7 +152,7 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.array([r["key"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
 
 
-def profiles(docs: DataFrame, width: int, percent: int, groups: int) -> DataFrame:
+def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     common = common_shingles(docs, width)
     by_value = np.argsort(common)
 
@@ -139,7 +162,7 @@ def profiles(docs: DataFrame, width: int, percent: int, groups: int) -> DataFram
             out = [[], [], [], []]
             for found in shingle_sets(batch.column("text"), width):
                 n = len(found)
-                sid = int(mix(np.array([mix(found).sum(dtype=np.uint64) + np.uint64(n)]))[0].view(np.int64)) if n else None
+                sid = set_id(found) if n else None
                 lead = None
                 if n and sid not in said:  # a set's blocks are named once in a task
                     said.add(sid)
@@ -154,7 +177,7 @@ def profiles(docs: DataFrame, width: int, percent: int, groups: int) -> DataFram
                         lead = found[np.argsort(rank, kind="stable")[:size]]
                     else:
                         lead = found[:size]
-                for column, value in zip(out, (n, sid, point(found, groups).tobytes() if n else None, lead), strict=True):
+                for column, value in zip(out, (n, sid, point(found).tobytes() if n else None, lead), strict=True):
                     column.append(value)
             flat_leads = [x for x in out[3] if x is not None]
             at = np.cumsum([0] + [len(x) if x is not None else 0 for x in out[3]])
@@ -173,55 +196,80 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, pe
 
     def bounded(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.stack([np.frombuffer(x, np.uint16) for x in batch.column(f"{k}_point").to_pylist()]) for k in "uv")
-            n, m = (batch.column(f"{k}_n").to_numpy() for k in "uv")
-            wide = (a == MOST).any(axis=1) | (b == MOST).any(axis=1)
-            keep = wide | linked(np.minimum(a, b).sum(axis=1, dtype=np.int64), n, m, percent)
-            yield batch.select(["u", "v", "u_doc", "v_doc"]).filter(pa.array(keep))
+            points = (batch.column(f"{k}_point").to_pylist() for k in "uv")
+            sizes = (batch.column(f"{k}_n").to_pylist() for k in "uv")
+            keep = []
+            for a, b, n, m in zip(*points, *sizes, strict=True):
+                groups = min(len(a), len(b))
+                keep.append(bool(linked(int(np.minimum(counts_of(a, groups), counts_of(b, groups)).sum(dtype=np.int64)), n, m, percent)))
+            yield batch.select(["u", "v", "u_doc", "v_doc"]).filter(pa.array(keep, pa.bool_()))
 
     near = pairs.join(left, "u").join(right, "v").where(f"100 * least(u_n, v_n) >= {percent} * greatest(u_n, v_n)")
     near = materialize(near.mapInArrow(bounded, "u long, v long, u_doc long, v_doc long"), f"{name}-near")
     ids = materialize(near.select(F.col("u_doc").alias("doc_id")).union(near.select("v_doc")).distinct(), f"{name}-ids")
-    texts = keep_ids(docs, ids, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"))
-    texts = materialize(texts, f"{name}-texts")
+    texts = keep_ids(docs, ids, "doc_id")
 
     def verify(batches):
         for batch in slices(slices(batches, "u_text"), "v_text"):
-            both = zip(shingle_sets(batch.column("u_text"), width), shingle_sets(batch.column("v_text"), width), strict=True)
-            keep = [bool(linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)) for x, y in both]
+            both = zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), shingle_sets(batch.column("u_text"), width), shingle_sets(batch.column("v_text"), width), strict=True)
+            keep = [bool(len(x) and len(y) and set_id(x) == u and set_id(y) == v and linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)) for u, v, x, y in both]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     at = near.join(texts.select(F.col("doc_id").alias("u_doc"), F.col("text").alias("u_text")), "u_doc")
     at = at.join(texts.select(F.col("doc_id").alias("v_doc"), F.col("text").alias("v_text")), "v_doc")
-    return materialize(at.select("u", "v", "u_text", "v_text").mapInArrow(verify, "u long, v long"), f"{name}-links")
+    return materialize(at.select("u", "v", "u_text", "v_text").mapInArrow(verify, "u long, v long").distinct(), f"{name}-links")
+
+
+def _with_partners(members: DataFrame, percent: int) -> DataFrame:
+    """Members of blocks (key, sid) in whose block another one has a size that may link."""
+    reach = int(np.ceil(np.log(100 / percent) / np.log(SIZE_STEP))) + 1
+    by_size = Window.partitionBy("key").orderBy("size", "sid")
+    members = members.withColumn("size", _size_class(F.col("sid")))
+    near = (F.col("size") - F.lag("size").over(by_size) <= reach) | (F.lead("size").over(by_size) - F.col("size") <= reach)
+    return members.withColumn("near", near).where("near").drop("size", "near")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, groups: int = GROUPS) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): one row per row of ``docs`` (doc_id, text).
 
     ``n_links`` counts the verified links of the document's set, enough of them to hold its component together.
     """
     docs = docs.select("doc_id", "text")
-    profile = materialize(profiles(docs, width, percent, groups), "jaccard-profiles")
+    profile = materialize(profiles(docs, width, percent), "jaccard-profiles")
     sets = materialize(
         profile.where("sid is not null and doc_id is not null").groupBy("sid").agg(F.min_by(F.struct("doc_id", "n_shingles", "point"), "doc_id").alias("x"))
         .select("sid", "x.doc_id", F.col("x.n_shingles").alias("n"), "x.point"), "jaccard-sets")
 
     members = profile.where("lead is not null and doc_id is not null").select("sid", F.explode("lead").alias("key"))
     block = Window.partitionBy("key")
-    members = members.withColumns({"u": F.min("sid").over(block), "last": F.max("sid").over(block)}).where("u < last")
-    members = materialize(members.select("key", "sid", "u").dropDuplicates(["key", "sid"]), "jaccard-blocks")
-
-    first = materialize(members.where("u < sid").select("u", F.col("sid").alias("v")).distinct(), "jaccard-pairs")
-    links = _verified(first, docs, sets, width, percent, "jaccard-first")
-    labels = components(links, "jaccard-first")
+    members = members.withColumns({"low": F.min("sid").over(block), "high": F.max("sid").over(block)}).where("low < high")
+    members = _with_partners(members.select("key", "sid").distinct(), percent)
+    members = materialize(members.withColumn("u", F.min("sid").over(block)), "jaccard-blocks")
+
+    tested = materialize(members.where("u < sid").select("u", F.col("sid").alias("v")).distinct(), "jaccard-pairs")
+    links = _verified(tested, docs, sets, width, percent, "jaccard-first")
+    for turn in range(TURNS):  # components meet by one member each, another one every turn, while that joins some
+        labels = components(links, "jaccard-turn")
+        labelled = members.join(labels, members["sid"] == labels["node"], "left").select("key", "sid", F.coalesce("label", "sid").alias("label"))
+        rank = F.xxhash64("sid", F.lit(turn))
+        heads = labelled.groupBy("key", "label").agg(F.min(F.struct(rank.alias("rank"), "sid")).alias("head"))
+        hub = F.min("head").over(block)
+        heads = heads.select(F.col("head.sid").alias("sid"), hub["sid"].alias("hub")).where("sid <> hub")
+        pairs = heads.select(F.least("sid", "hub").alias("u"), F.greatest("sid", "hub").alias("v")).distinct()
+        pairs = materialize(pairs.join(tested, ["u", "v"], "left_anti"), "jaccard-pairs")
+        more = _verified(pairs, docs, sets, width, percent, "jaccard-turn")
+        tested = tested.union(pairs)
+        if more.limit(1).count() == 0:
+            break
+        links = links.union(more)
+    labels = components(links, "jaccard-turns")
 
     labelled = members.join(labels, members["sid"] == labels["node"], "left").select("key", "sid", F.coalesce("label", "sid").alias("label"))
     mixed = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bit_xor(F.xxhash64("sid")).alias("mark"))
     mixed = mixed.where("low < high and n > 2").groupBy("n", "low", "high", "mark").agg(F.min("key").alias("key")).select("key")  # equal blocks once
 
+    labelled = _with_partners(labelled.join(mixed, "key", "left_semi"), percent)
+
     def across(batches):
         held, last = [], None
         for batch in batches:
@@ -239,16 +287,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
             return
         whole = pa.Table.from_batches(held)
         sid, label, n = (whole.column(c).to_numpy() for c in ("sid", "label", "n"))
-        points = np.stack([np.frombuffer(x, np.uint16) for x in whole.column("point").to_pylist()])
-        for a, b in CountTree(points, n).pairs(percent):
-            off = label[a] != label[b]
-            u, v = sid[a[off]], sid[b[off]]
-            if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
-
-    found = labelled.join(mixed, "key").join(sets.select("sid", "n", "point"), "sid").select("key", "sid", "label", "n", "point")
-    found = found.repartition("key").sortWithinPartitions("key").mapInArrow(across, "u long, v long").distinct()
-    found = materialize(found.join(first, ["u", "v"], "left_anti"), "jaccard-across")
+        points, keys, key = whole.column("point").to_pylist(), [set(x) for x in whole.column("keys").to_pylist()], whole.column("key")[0].as_py()
+        groups = np.array([len(p) for p in points])
+        for here in np.unique(groups):  # sizes of a pair are alike, so its numbers of groups differ by a factor of two at most
+            rows = np.flatnonzero((groups == here) | (groups == 2 * here))
+            tree = CountTree(np.stack([counts_of(points[i], here) for i in rows]), n[rows])
+            for a, b in tree.pairs(percent):
+                a, b = rows[a], rows[b]
+                off = (label[a] != label[b]) & ((groups[a] == here) | (groups[b] == here))
+                once = [(i, j) for i, j in zip(a[off].tolist(), b[off].tolist(), strict=True) if min(keys[i] & keys[j]) == key]  # only in their first common block
+                u, v = (sid[list(x)] for x in zip(*once, strict=True)) if once else ((), ())
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    labelled = materialize(labelled, "jaccard-mixed")
+    own = labelled.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # as many as the document's first shingles at most
+    found = labelled.join(sets.select("sid", "n", "point").join(own, "sid"), "sid").select("key", "sid", "label", "n", "point", "keys")
+    found = found.repartition("key").sortWithinPartitions("key").mapInArrow(across, "u long, v long")
+    found = materialize(found.join(tested, ["u", "v"], "left_anti"), "jaccard-across")
     more = _verified(found, docs, sets, width, percent, "jaccard-across")
     links = links.union(more)
     labels = components(links, "jaccard-all")

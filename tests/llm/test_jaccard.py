@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from sparkdesk.llm.jaccard import CountTree, lead_size, linked, near_duplicates, one_of_each_group, point
+from sparkdesk.llm.jaccard import CountTree, counts_of, lead_size, linked, near_duplicates, one_of_each_group, point
 
 
 def shingles(text):
@@ -90,7 +90,7 @@ def test_tree_loses_no_pair(seed):
     base = rng.integers(0, 2**63, (12, 90), dtype=np.uint64)
     sets = [np.unique(np.concatenate([rng.choice(b, rng.integers(60, 90), replace=False), rng.integers(0, 2**63, rng.integers(0, 9), dtype=np.uint64)])) for b in base for _ in range(8)]
     sizes = np.array([len(s) for s in sets])
-    got = {tuple(sorted((int(x), int(y)))) for a, b in CountTree(np.stack([point(s, 32) for s in sets]), sizes).pairs(75) for x, y in zip(a, b, strict=True)}
+    got = {tuple(sorted((int(x), int(y)))) for a, b in CountTree(np.stack([counts_of(point(s).tobytes(), 64) for s in sets]), sizes).pairs(75) for x, y in zip(a, b, strict=True)}
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(len(np.intersect1d(sets[i], sets[j])), sizes[i], sizes[j], 75)}
     assert want and want <= got and len(got) < len(sets) * (len(sets) - 1) // 4
 
