@@ -122,7 +122,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     ``doc_id`` is the later document of a pair and ``other_id`` the earlier one (or the same); begins count words. Each copy
     of a passage is tied to a neighbour in the sort, so the copies of one passage form a chain.
     """
-    pairs = neighbours(suffixes(docs, least_words), "suffix-neighbours")
+    pairs = neighbours(suffixes(docs, least_words), "suffix-neighbours").where("a <> b or a_place <> b_place")
     turn = F.expr("a < b or (a = b and a_place < b_place)")
     x, y, i, j = (F.when(turn, F.col(q)).otherwise(F.col(p)) for p, q in (("a", "b"), ("b", "a"), ("a_place", "b_place"), ("b_place", "a_place")))
     pairs = pairs.select(x.alias("x"), y.alias("y"), i.alias("i"), (i - j).alias("shift")).groupBy("x", "y", "shift").agg(F.collect_set("i").alias("places"))
