@@ -29,8 +29,8 @@ from sentencepiece import sentencepiece_model_pb2
 from sparkdesk.llm.textbytes import slices
 
 SPACE = "▁"
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 150_000
+PAIRS_KEPT = 300_000
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 

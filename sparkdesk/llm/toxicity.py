@@ -131,23 +131,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, term
     return machine
 
 
-def scored(docs: DataFrame, machine: Machine, buckets: int = BUCKETS) -> DataFrame:
-    """All rows and columns of ``docs`` with ``score`` (0 to 1)."""
-    docs = docs.drop("score")
+def scored(docs: DataFrame, machine: Machine, buckets: int = BUCKETS, column: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` with ``column`` (0 to 1), which replaces one of that name."""
+    docs = docs.drop(column)
     model = docs.sparkSession.sparkContext.broadcast(machine)  # some hundred kB: TERMS rows of weights
     names = docs.columns
 
     def run(batches):
         for batch in slices(batches):
             score = pa.array(model.value.scores(batch.column("text"), buckets))
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, score], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, score], [*names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents scored under ``threshold``; all columns and rows."""
-    names = docs.columns
-    whole = docs.select("doc_id", "text", F.struct(*names).alias("doc"))
-    kept = scored(whole, fit(docs, labels)).where(F.col("score") < threshold)
-    return kept.select(*[F.col(f"doc.`{c}`") for c in names])
+    column = "score"
+    while column in docs.columns:
+        column += "_"
+    return scored(docs, fit(docs, labels), column=column).where(F.col(column) < threshold).drop(column)
