@@ -82,7 +82,7 @@ def fixed_chunks(text: Column | str, size: int = 800, overlap: int = 100, drop_t
     return F.transform(starts, lambda i: F.substring(t, i + 1, F.lit(size)))
 
 
-def packed_chunks(text: Column | str, size: int = 1200, overlap: int = 200, min_last: int = 50, separator: str = r"\n{2,}") -> Column:
+def packed_chunks(text: Column | str, size: int = 1200, overlap: int = 200, min_last: int = 0, separator: str = r"\n{2,}") -> Column:
     """Paragraphs packed up to ``size`` characters, each chunk opening with the tail of the one before."""
     paragraphs = F.filter(F.transform(F.split(_c(text), separator, -1), strip), lambda p: p != "")
     empty = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("done"))

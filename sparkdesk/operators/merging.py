@@ -22,9 +22,14 @@ def insert_only(stored: DataFrame, arriving: DataFrame, keys: list[str]) -> Data
     return stored.unionByName(fresh)
 
 
-def upsert(stored: DataFrame, arriving: DataFrame, keys: list[str]) -> DataFrame:
-    """Arriving rows replace stored rows of the same key."""
-    fresh = arriving.dropDuplicates(keys)
+def upsert(stored: DataFrame, arriving: DataFrame, keys: list[str], latest: str | None = None) -> DataFrame:
+    """Arriving rows replace stored rows of the same key (S12); of several arriving rows of a key the one largest in ``latest`` counts."""
+    rest = [c for c in arriving.columns if c not in keys]
+    if latest:
+        best = arriving.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(latest, *[c for c in rest if c != latest])).alias("_row"))
+        fresh = best.select(*keys, "_row.*").select(arriving.columns)
+    else:
+        fresh = arriving.dropDuplicates(keys)
     return stored.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
 
 

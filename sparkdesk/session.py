@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,14 @@ def get_session(app: str = "sparkdesk", cores: int | str = 8, **conf: str) -> Sp
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder the cluster names.
 
-    Only where no shared folder is configured (unit tests) does this fall back to a temporary one.
+    Without one only a session on a single machine goes on, in a temporary folder; a cluster must name it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "sparkdesk")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "sparkdesk")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

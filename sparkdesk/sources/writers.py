@@ -30,22 +30,34 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str, rows_per_file
     )
 
 
+MOST_LITERALS = 2000
+
+
+def touched(spark: SparkSession, path: str, arriving: DataFrame, partition: str) -> DataFrame:
+    """The stored rows of the partitions that arrive. Few of them become a literal filter, so that no other folder is read; many are joined."""
+    stored = spark.read.schema(arriving.schema).parquet(path)
+    here = [r[0] for r in arriving.select(partition).distinct().limit(MOST_LITERALS + 1).collect()]
+    if len(here) > MOST_LITERALS or None in here:
+        return stored.join(arriving.select(partition).distinct(), stored[partition].eqNullSafe(arriving[partition]), "left_semi")
+    return stored.where(F.col(partition).isin(here))
+
+
 def append_new_keys(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str) -> None:
     """Insert-only merge into a stored table (M1, M2, S14): stored files are only read, new rows appended."""
-    stored = spark.read.schema(arriving.schema).parquet(path).join(arriving.select(partition).distinct(), partition, "left_semi")
+    stored = touched(spark, path, arriving, partition)
     fresh = materialize(append_missing(stored, arriving.dropDuplicates(keys), keys), "append")
     write_partitioned(fresh, path, partition, "append")
 
 
-def merge_partitions(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str, mode: str = "upsert") -> None:
+def merge_partitions(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str, mode: str = "upsert", latest: str | None = None) -> None:
     """Merge into the touched partitions only.
 
     The merged partitions are first written to the shared folder, so the table is never overwritten
     while it is being read and a failed run can be repeated.
     """
-    stored = spark.read.schema(arriving.schema).parquet(path).join(arriving.select(partition).distinct(), partition, "left_semi")
-    merge = {"upsert": upsert, "insert_only": insert_only}[mode]
-    overwrite_partitions(materialize(merge(stored, arriving, keys), "merge"), path, partition)
+    stored = touched(spark, path, arriving, partition)
+    merged = upsert(stored, arriving, keys, latest) if mode == "upsert" else insert_only(stored, arriving, keys)
+    overwrite_partitions(materialize(merged, "merge"), path, partition)
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
@@ -81,5 +93,5 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
 def save_two_track(spark: SparkSession, runs: DataFrame, latest_path: str, history_path: str, key: str, when: str) -> None:
     """Append the runs to the history and refresh the latest record of each key."""
     runs.write.mode("append").parquet(history_path)
-    newest = first_per_key(spark.read.schema(runs.schema).parquet(history_path), [key], [-F.unix_micros(F.col(when).cast("timestamp"))])
+    newest = first_per_key(spark.read.schema(runs.schema).parquet(history_path), [key], [-F.unix_micros(F.col(when).cast("timestamp")), *[F.col(c) for c in runs.columns if c not in (key, when)]])  # equal times: the smallest row, always the same
     newest.write.mode("overwrite").parquet(latest_path)

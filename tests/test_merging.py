@@ -85,3 +85,19 @@ def test_partitioned_merge_touches_only_its_partitions(spark, tmp_path):
     got = spark.read.schema(old.schema).parquet(f"{tmp_path}/t")
     assert rows(got.select("k", "v", "p")) == rows(spark.createDataFrame([(1, "a", 1), (2, "B", 1), (9, "z", 1), (3, "c", 2)], old.schema))
     assert {f.name for f in (tmp_path / "t" / "p=2").iterdir()} == keep
+
+
+def test_upsert_takes_the_latest_of_repeats(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
+    new = spark.createDataFrame([(2, "x", 5), (2, "y", 7), (2, "w", 6)], old.schema)
+    assert sorted(map(tuple, M.upsert(old, new, ["k"], "at").collect())) == [(1, "a", 1), (2, "y", 7)]
+
+
+def test_merge_reads_arriving_partitions_only(spark, tmp_path):
+    from sparkdesk.sources.writers import touched, write_partitioned
+
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "k int, v string, p int")
+    write_partitioned(old, f"{tmp_path}/t", "p")
+    got = touched(spark, f"{tmp_path}/t", old.where("p = 2"), "p")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "= 2" in plan and [tuple(r) for r in got.collect()] == [(2, "b", 2)]

@@ -21,45 +21,34 @@ def texts(seed, n=40):
     return out
 
 
-def packed(text, size, overlap, least):
-    chunks, cur = [], ""
-    for p in (q.strip() for q in re.split(r"\n{2,}", text)):
-        if not p:
-            continue
-        if cur and len(cur) + len(p) + 2 > size:
-            chunks.append(cur.strip())
-            cur = f"{cur[-overlap:]}\n\n{p}" if len(cur) > overlap else p
-        else:
-            cur = f"{cur}\n\n{p}".strip() if cur else p
-    return chunks + ([cur.strip()] if len(cur.strip()) > least else [])
-
-
-def kept_lines(text):
-    number = re.compile(X.NUMBER_LINE)
-    out = []
-    for line in text.split("\n"):
-        s = line.strip()
-        n = len(re.findall("[가-힣]", s))
-        if s and (re.fullmatch(X.HEADER_TAG, s) or n == 0 or (n < 3 and len(s) <= 10) or number.fullmatch(s)
-                  or re.fullmatch(X.TABLE_LINE, s) or (len(s) <= 30 and n / len(s) < 0.2)):
-            continue
-        out.append(line if s else "")
-    return "\n".join(out).strip()
-
-
 @pytest.mark.parametrize("size,overlap", [(1200, 200), (90, 20), (60, 50)])
-def test_packed_chunks(spark, size, overlap):
+def test_packed_chunks_bounds_and_overlap(spark, size, overlap):
+    """Every paragraph lies in a chunk, a chunk opens with the tail of the one before, and only one paragraph may exceed the size."""
     src = texts(size)
     df = spark.createDataFrame(list(enumerate(src)), "i int, t string")
-    got = {r.i: r.c for r in df.select("i", X.packed_chunks("t", size, overlap).alias("c")).collect()}
-    assert got == {i: packed(t, size, overlap, 50) for i, t in enumerate(src)}
-
-
-def test_remove_noise(spark):
-    src = texts(3, 60) + ["[표 요약]\n강남구 요약입니다", "강남구, 1, 2, 3\n강남구는 높다"]
-    df = spark.createDataFrame(list(enumerate(src)), "i int, t string")
-    got = {r.i: r.c for r in df.select("i", X.remove_noise("t").alias("c")).collect()}
-    assert got == {i: kept_lines(t) for i, t in enumerate(src)}
+    for r in df.select("i", X.packed_chunks("t", size, overlap).alias("c")).collect():
+        paragraphs = [p.strip() for p in re.split("\n\n+", src[r.i]) if p.strip()]
+        longest = max(map(len, paragraphs), default=0)
+        assert all(any(p in c for c in r.c) for p in paragraphs)
+        assert all(len(c) <= max(size, longest + overlap + 2) for c in r.c)
+        for before, after in zip(r.c, r.c[1:]):
+            assert len(before) <= overlap or after.startswith(before[-overlap:].lstrip())
+
+
+def test_packed_chunks_keep_a_short_tail_unless_told(spark):
+    df = spark.createDataFrame([("a" * 50 + "\n\n" + "b" * 8,)], "t string")
+    row = df.select(X.packed_chunks("t", 52, 0).alias("all"), X.packed_chunks("t", 52, 0, min_last=50).alias("long")).first()
+    assert row["all"][-1].endswith("b" * 8) and len(row["long"]) == len(row["all"]) - 1
+
+
+def test_remove_noise_line_by_line(spark):
+    """One case for each kind of line; the lines around it show that it alone goes."""
+    kept = ["강남구 에너지 소비가 크게 늘었다", "강남구는 높다"]
+    dropped = ["", "a b c", "12,345", "45.2%", "표 1", "[표 요약]", "x" * 40]
+    for line in dropped:
+        got = spark.range(1).select(X.remove_noise(F.lit(f"{kept[0]}\n{line}\n{kept[1]}")).alias("c")).first().c
+        assert [x for x in got.split("\n") if x] == kept, line
+    assert spark.range(1).select(X.remove_noise(F.lit("\n".join(kept))).alias("c")).first().c == "\n".join(kept)
 
 
 def test_fixed_chunks_cover_the_text(spark):
