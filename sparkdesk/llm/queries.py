@@ -56,7 +56,7 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")  # which links were verified has no SQL
 
 
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
 ), e AS (SELECT doc_id, unnest(s) AS k FROM s),
 reps AS (SELECT min(doc_id) AS rep, list_sort(s) AS t, len(any_value(s)) AS n FROM s WHERE len(s) > 0 GROUP BY list_sort(s)),
 own AS (SELECT s.doc_id, coalesce(r.rep, s.doc_id) AS rep, len(s.s) AS n FROM s LEFT JOIN reps r ON list_sort(s.s) = r.t),
