@@ -12,6 +12,8 @@ share of the class there is (0.5 without any). An empty table gives an empty res
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -132,17 +134,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, term
 
 
 def scored(docs: DataFrame, machine: Machine, buckets: int = BUCKETS, column: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with ``column`` (0 to 1), which replaces one of that name."""
-    docs = docs.drop(column)
+    """All rows and columns of ``docs`` with ``column`` (0 to 1), which replaces one of that name.
+
+    Only texts go to the Python workers and only numbers come back; the other columns stay with Spark.
+    """
     model = docs.sparkSession.sparkContext.broadcast(machine)  # some hundred kB: TERMS rows of weights
-    names = docs.columns
 
-    def run(batches):
-        for batch in slices(batches):
-            score = pa.array(model.value.scores(batch.column("text"), buckets))
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, score], [*names, column])
+    @F.arrow_udf(T.DoubleType())
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            parts = slices([pa.RecordBatch.from_arrays([text], ["text"])])
+            yield pa.array(np.concatenate([np.empty(0), *(model.value.scores(part.column(0), buckets) for part in parts)]))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return docs.drop(column).withColumn(column, score("text"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
