@@ -120,14 +120,14 @@ def slice_rows(df: DataFrame, order: list[str], skip: int = 0, limit: int | None
 
 # --- labels and weights ---------------------------------------------------------------------------
 def encode_labels(df: DataFrame, names: Sequence[str] = LABEL_ORDER, label: str = "label") -> DataFrame:
-    """Integer id of each known label; rows with other labels are dropped."""
+    """Integer id of each known label; rows with other labels or none are left to ``unknown_labels``."""
     ids = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
     return df.withColumn("label_id", F.try_element_at(ids, F.col(label))).where("label_id IS NOT NULL")
 
 
 def unknown_labels(df: DataFrame, names: Sequence[str] = LABEL_ORDER, label: str = "label") -> DataFrame:
-    """Rows per label that is not in the list."""
-    return df.where(~F.col(label).isin(*names)).groupBy(label).agg(F.count("*").alias("n"))
+    """Rows per label that is not in the list, rows without a label included."""
+    return df.where(F.col(label).isNull() | ~F.col(label).isin(*names)).groupBy(label).agg(F.count("*").alias("n"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkdesk.functions import questions as Qn
 from sparkdesk.functions import text as X
 from sparkdesk.operators import corpus as K
+from sparkdesk.operators import datasets as D
 
 
 def texts(seed, n=40):
@@ -87,3 +88,9 @@ def test_question_tags(spark):
 def test_report_label_order(spark):
     df = spark.createDataFrame([("신주인수권부사채 발행",), ("합병 결정",), ("기타",)], "report_nm string")
     assert [r.label for r in K.label_reports(df).collect()] == ["유상증자", "합병·분할", None]
+
+
+def test_every_row_is_encoded_or_reported(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("z",), (None,), (None,)], "label string")
+    assert {(r["label"], r["label_id"]) for r in D.encode_labels(df, ["a", "b"]).collect()} == {("a", 0), ("b", 1)}
+    assert {(r["label"], r["n"]) for r in D.unknown_labels(df, ["a", "b"]).collect()} == {("z", 1), (None, 2)}
