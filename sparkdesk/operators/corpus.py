@@ -165,11 +165,12 @@ def unnest_report(df: DataFrame, column: str) -> DataFrame:
 
 
 def context_lines(docs: DataFrame, group: str, position: str, text: str, letters: str = X.LETTERS,
-                  names: Column | None = None, max_lines: int = 60) -> DataFrame:
+                  names: Column | None = None, max_lines: int = 60, fallback: str | None = None) -> DataFrame:
     """First lines with letters (and, if given, one of the names) over a group's documents (X11).
 
     No document contributes more than ``max_lines``, so a group never holds more than the answer needs
-    once the rank filter has run on the map side.
+    once the rank filter has run on the map side. A group without such a line gets ``fallback`` and no lines;
+    without a fallback it has no row.
     """
     lines = F.transform(F.split(text, "\n", -1), X.strip)
     wanted = F.filter(lines, lambda s: s.rlike(f"[{letters}]"))
@@ -179,8 +180,13 @@ def context_lines(docs: DataFrame, group: str, position: str, text: str, letters
     w = W.partitionBy(group).orderBy(position, "_i")
     first = rows.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= max_lines)
     ordered = F.array_sort(F.collect_list(F.struct("rk", "line")))
-    return first.groupBy(group).agg(
+    found = first.groupBy(group).agg(
         F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("context"), F.count("*").alias("n_lines"))
+    if fallback is None:
+        return found
+    every = docs.select(group, F.lit(None).cast("string").alias("context"), F.lit(0).cast("long").alias("n_lines"))
+    both = found.unionByName(every).groupBy(group).agg(F.max("context").alias("context"), F.max("n_lines").alias("n_lines"))
+    return both.withColumn("context", F.coalesce("context", F.lit(fallback)))
 
 
 def quality_counts(measured: DataFrame) -> DataFrame:

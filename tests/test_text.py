@@ -94,3 +94,10 @@ def test_every_row_is_encoded_or_reported(spark):
     df = spark.createDataFrame([("a",), ("b",), ("z",), (None,), (None,)], "label string")
     assert {(r["label"], r["label_id"]) for r in D.encode_labels(df, ["a", "b"]).collect()} == {("a", 0), ("b", 1)}
     assert {(r["label"], r["n"]) for r in D.unknown_labels(df, ["a", "b"]).collect()} == {("z", 1), (None, 2)}
+
+
+def test_groups_without_lines_get_the_fallback(spark):
+    df = spark.createDataFrame([("a", 1, "12\nword one"), ("a", 2, "word two"), ("b", 3, "34"), (None, 4, "word"), ("c", 5, None)], "g string, p int, text string")
+    got = {(r["g"], r["context"], r["n_lines"]) for r in K.context_lines(df, "g", "p", "text", "a-z", fallback="none").collect()}
+    assert got == {("a", "word one\nword two", 2), ("b", "none", 0), (None, "word", 1), ("c", "none", 0)}
+    assert K.context_lines(df, "g", "p", "text", "a-z").count() == 2
