@@ -19,6 +19,7 @@ linked; it never names a component. An empty table gives an empty result. Other
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ SAMPLE_DOCS = 4096  # documents whose shingles decide which ones are common
 COMMON_SHARE = 200  # common: in more than one of so many sampled documents
 COMMON_MOST = 65_536
 FANOUT = 16
+PAIRS_AT_ONCE = 2048  # of tree nodes, in one piece of work
+KEYS_KEPT = 256  # rows of a block whose blocks are held as sets at a time
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -115,7 +118,7 @@ class CountTree:
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows (each once) that the bounds leave, by a joint descent in pieces of bounded size."""
-        step = max(64, (2 << 20) // self.tops[0].shape[1])
+        step = max(64, min(PAIRS_AT_ONCE, (2 << 20) // self.tops[0].shape[1]))  # a node pair opens into FANOUT squared
         todo = [(len(self.tops) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while todo:
             level, a, b = todo.pop()
@@ -155,6 +158,7 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
 def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     common = common_shingles(docs, width)
     by_value = np.argsort(common)
+    ordered = common[by_value]
 
     def profile(batches):
         said = set()
@@ -170,9 +174,8 @@ def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         said.clear()
                     size = lead_size(n, percent)
                     if len(common):
-                        at = np.searchsorted(common[by_value], found)
-                        at = np.minimum(at, len(common) - 1)
-                        hit = common[by_value][at] == found
+                        at = np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)
+                        hit = ordered[at] == found
                         rank = np.where(hit, by_value[at] + 1, 0)
                         lead = found[np.argsort(rank, kind="stable")[:size]]
                     else:
@@ -287,7 +290,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
             return
         whole = pa.Table.from_batches(held)
         sid, label, n = (whole.column(c).to_numpy() for c in ("sid", "label", "n"))
-        points, keys, key = whole.column("point").to_pylist(), [set(x) for x in whole.column("keys").to_pylist()], whole.column("key")[0].as_py()
+        points, key = whole.column("point").to_pylist(), whole.column("key")[0].as_py()
+        keys = lru_cache(maxsize=KEYS_KEPT)(lambda i: frozenset(whole.column("keys")[i].as_py()))  # only of rows in surviving pairs
         groups = np.array([len(p) for p in points])
         for here in np.unique(groups):  # sizes of a pair are alike, so its numbers of groups differ by a factor of two at most
             rows = np.flatnonzero((groups == here) | (groups == 2 * here))
@@ -295,7 +299,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
             for a, b in tree.pairs(percent):
                 a, b = rows[a], rows[b]
                 off = (label[a] != label[b]) & ((groups[a] == here) | (groups[b] == here))
-                once = [(i, j) for i, j in zip(a[off].tolist(), b[off].tolist(), strict=True) if min(keys[i] & keys[j]) == key]  # only in their first common block
+                once = [(i, j) for i, j in zip(a[off].tolist(), b[off].tolist(), strict=True) if min(keys(i) & keys(j)) == key]  # only in their first common block
                 u, v = (sid[list(x)] for x in zip(*once, strict=True)) if once else ((), ())
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
