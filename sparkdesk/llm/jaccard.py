@@ -164,11 +164,12 @@ def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
         said = set()
         for batch in slices(batches):
             out = [[], [], [], []]
-            for found in shingle_sets(batch.column("text"), width):
+            named = batch.column("doc_id").is_valid().to_pylist()  # a row without an id names no blocks
+            for found, has_id in zip(shingle_sets(batch.column("text"), width), named, strict=True):
                 n = len(found)
                 sid = set_id(found) if n else None
                 lead = None
-                if n and sid not in said:  # a set's blocks are named once in a task
+                if n and has_id and sid not in said:  # a set's blocks are named once in a task
                     said.add(sid)
                     if len(said) > 1_000_000:
                         said.clear()

@@ -78,6 +78,14 @@ def test_edge_rows(spark, frame):
     assert one_of_each_group(clash).columns == clash.columns and one_of_each_group(clash).count() == 1
 
 
+def test_null_id_before_a_near_copy(spark):
+    """A copy without an id, first in its task, takes no block from the rows of the same text that have ids."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (5, text), (2, text + " end"), (9, "other words that stand quite alone here")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in got) == [("2", 2), ("5", 2), ("9", 9), ("None", 2)]
+
+
 def test_long_text(frame):
     long = " ".join(f"w{i % 70001}" for i in range(120_000))
     assert found(frame([long, long + " end", "short"])) == {0: (len(shingles(long)), 0), 1: (len(shingles(long + " end")), 0), 2: (1, 2)}
