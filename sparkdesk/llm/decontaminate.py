@@ -77,12 +77,13 @@ def search(text: str, automaton, items: list[tuple[int, str, int]]) -> Iterator[
         for number, start, length in hits:
             item_id, item, budget = items[number]
             at = last + 1 - length - start  # where the item begins if nothing was inserted or left out before the piece
-            if at - budget < seen.get(number, -1 << 60):
+            free = seen.get(number, 0)  # where the last match of the item ended
+            if at + budget < free:
                 continue
-            if text.startswith(item, at) and at >= 0:
+            if at >= free and text.startswith(item, at):
                 begin, end, edits = at, at + len(item), 0
             else:
-                low = max(0, at - budget)
+                low = max(free, at - budget)
                 edits, end = nearest(item, text[low : at + len(item) + budget])
                 if edits > budget:
                     continue

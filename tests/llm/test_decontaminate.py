@@ -67,3 +67,16 @@ def test_edited_passages(spark, frame):
     kept = without_contaminated(frame([*texts, None], [(None, texts[0], None, None, None)]), bench)
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted([str(d) for d in range(len(texts)) if (d, 1) not in want] + [str(len(texts)), "None"])
     assert contaminated(frame([]), bench).collect() == [] and contaminated(frame(texts), bench.limit(0)).collect() == []
+
+
+def test_copies_that_follow_at_once(spark, frame):
+    """Each of several copies is found, whatever little stands between them and with letters left out of the later one."""
+    rng = random.Random(4)
+    item = "".join(rng.choice("abcdefghij") for _ in range(200))
+    less = item[:5] + item[7:]
+    texts = [item + gap + item for gap in ("", " ", " " * 9, " " * 40)] + [item + less + item, item + item[:150]]
+    got = contaminated(frame(texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    rows = sorted((r["doc_id"], r["begin"], r["end"], r["edits"]) for r in got)
+    assert rows == [
+        *((d, *x, 0) for d, gap in enumerate((0, 1, 9, 40)) for x in ((0, 200), (200 + gap, 400 + gap))),
+        (4, 0, 200, 0), (4, 200, 398, 2), (4, 398, 598, 0), (5, 0, 200, 0)]
