@@ -41,7 +41,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sentence_spans.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).where(F.size("removed") > 0)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sentence_spans.without_repeats(docs, passage_words=sentence_spans.PASSAGE_WORDS).where(F.size("removed") > 0)
     return rows.select("doc_id", F.size("removed").alias("removed_sentences"), "removed", F.sort_array("first_docs").alias("first_docs"), "kept")
 
 
