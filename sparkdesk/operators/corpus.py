@@ -75,8 +75,13 @@ def split_pages(df: DataFrame, key: str, text: str, separator: str = "\n") -> Da
 
 
 def with_sections(pages: DataFrame, key: str = "doc_id", pattern: str = X.HEADINGS) -> DataFrame:
-    """Section of each page: its own heading, else the last heading before it, else 'General' (W11)."""
-    return carry_forward(pages, [key], "page_num", X.heading("text", pattern), "General", "section")
+    """Section of each page: its own heading, else the last heading before it, else 'General' (W11).
+
+    Only headings run through the ordered scan; the page texts meet them by key and page, once.
+    """
+    heads = pages.groupBy(key, "page_num").agg(F.max(X.heading("text", pattern)).alias("_head"))
+    named = carry_forward(heads, [key], "page_num", F.col("_head"), "General", "section").select(key, "page_num", "section")
+    return pages.join(named, [key, "page_num"])
 
 
 def build_chunks(pages: DataFrame, key: str = "doc_id", letters: str = X.LETTERS, headings: str = X.HEADINGS,

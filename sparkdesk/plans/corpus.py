@@ -175,7 +175,7 @@ def _(t):
 
 @query("w12_number_rows", "SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS seq FROM documents")
 def _(t):
-    return number_rows(t.documents.select("source", "doc_id"), ["source"], "doc_id", "seq", block=64)
+    return number_rows(t.documents.select("source", "doc_id"), ["source"], "doc_id", "seq")
 
 
 def _context_sql(cond):

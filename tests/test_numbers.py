@@ -1,7 +1,5 @@
 """Statistics, order statistics, retrieval blocks, clustering, scores."""
 
-import random
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +12,6 @@ from sparkdesk.operators import hypotheses as H
 from sparkdesk.operators import quantiles as Q
 from sparkdesk.operators import retrieval as V
 from sparkdesk.operators.companies import resolve_names
-from sparkdesk.operators.ordered import carry_forward, number_rows
 
 
 def test_tail_golden_values():
@@ -37,19 +34,6 @@ def test_quantiles_with_a_hot_value(spark):
             assert [r[c] for c in "abcde"] == pytest.approx(list(np.quantile(mine, [0.01, 0.25, 0.5, 0.9, 1.0])))
 
 
-def test_blocks_do_not_change_order_jobs(spark):
-    rng = random.Random(5)
-    rows = [("hot", i, "H" + str(i) if rng.random() < 0.05 else None) for i in range(500)] + [("b", i, None) for i in range(3)]
-    df = spark.createDataFrame(rows, "k string, i long, h string")
-    for block in (1, 7, 4096):
-        got = {(r.k, r.i): r.s for r in carry_forward(df, ["k"], "i", F.col("h"), "General", "s", block).collect()}
-        last = {}
-        for k, i, h in rows:
-            last[k] = h or last.get(k, "General")
-            assert got[k, i] == last[k]
-        assert {(r.k, r.i): r.n for r in number_rows(df, ["k"], "i", "n", block).collect()} == {(k, i): i + 1 for k, i, _ in rows}
-
-
 def test_query_blocks_equal_one_pass(spark, tables):
     docs = tables.embeddings.select(F.col("vec_id").alias("doc_id"), "label", "embedding")
     queries = docs.select(F.col("doc_id").alias("query_id"), "embedding")
