@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import decontaminate, jaccard, language, merkle, pieces, pseudonyms, sentence_spans, sharding, suffixes, toxicity
+from sparkdesk.llm import decontaminate, jaccard, language, merkle, pieces, prefix_trie, pseudonyms, sentence_spans, sharding, suffixes, toxicity
 from sparkdesk.llm.common import fold, table
 
 PSEUDONYM_KEY = "corpus-2024"  # in production from the caller's secret store
@@ -69,8 +69,14 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.positioned(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_openings(turns, group=100, most=6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_merkle, op3_shards, op4_toxicity, op5_sentence_spans, op6_language, op7_pseudonyms, op8_jaccard, op9_suffixes, op10_pieces)
+    f.__name__: f for f in (op1_decontaminate, op2_merkle, op3_shards, op4_toxicity, op5_sentence_spans, op6_language, op7_pseudonyms, op8_jaccard, op9_suffixes, op10_pieces,
+                          op11_prefix_trie)
 }
 
 _JACCARD_SQL = r"""
@@ -91,4 +97,32 @@ SELECT o.doc_id, CAST(o.n AS BIGINT) AS n_shingles, coalesce(m.c, o.doc_id) AS c
 FROM own o LEFT JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON o.rep = m.a
 """
 
-ORACLES: dict[str, str] = {"op8_jaccard": _JACCARD_SQL}
+_CRC32_SQL = """xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+_TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (SELECT conv_id, count(*) AS size, CAST({_CRC32_SQL} AS BIGINT) % 6 AS h, conv_id - conv_id % 100 AS base FROM t GROUP BY conv_id),
+c AS (SELECT s.*, least(s.h, coalesce(b.size, 0)) AS opened FROM s LEFT JOIN s b ON b.conv_id = s.base),
+r AS (
+  SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos < opened
+  UNION ALL SELECT c.conv_id, t.pos - h + opened, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.pos >= h
+), p AS (
+  SELECT conv_id, pos + 1 AS depth, length(text) AS chars, string_agg(md5(length(role) || ':' || role || text), '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM r
+), n AS (
+  SELECT conv_id, depth, md5(path) AS id, coalesce(lag(md5(path)) OVER (PARTITION BY conv_id ORDER BY depth), 'root') AS parent, chars FROM p
+  UNION ALL SELECT conv_id, 0, 'root', NULL, 0 FROM c
+), g AS (SELECT id, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n, any_value(chars) AS chars FROM n GROUP BY id),
+k AS (SELECT parent, count(*) AS n_children FROM g WHERE parent IS NOT NULL GROUP BY parent),
+x AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k ON k.parent = g.id),
+b AS (SELECT a.id, sum((x.n - 1) * x.chars) AS saved, count(*) FILTER (x.n_children = 0) AS leaves FROM x JOIN n a ON a.conv_id = x.conv_id AND a.depth <= x.depth GROUP BY a.id),
+e AS (SELECT id, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends FROM n WHERE depth = (SELECT max(m.depth) FROM n m WHERE m.conv_id = n.conv_id) GROUP BY id)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, x.n AS n_convs, x.n_children, CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM x JOIN b ON b.id = x.id LEFT JOIN e ON e.id = x.id LEFT JOIN g q ON q.id = x.parent
+"""
+
+ORACLES: dict[str, str] = {"op8_jaccard": _JACCARD_SQL, "op11_prefix_trie": _TRIE_SQL}
