@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import decontaminate, jaccard, language, merkle, pieces, prefix_trie, pseudonyms, sentence_spans, sharding, suffixes, toxicity
+from sparkdesk.llm import decontaminate, jaccard, language, merkle, pieces, prefix_trie, pseudonyms, sentence_spans, sharding, suffixes, toxicity, vantage, whitening
 from sparkdesk.llm.common import fold, table
 
 PSEUDONYM_KEY = "corpus-2024"  # in production from the caller's secret store
@@ -74,9 +74,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.with_shared_openings(turns, group=100, most=6))
 
 
+def op12_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = vantage.Index(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return index.nearest(F.col("id") % 20 == 0, k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_merkle, op3_shards, op4_toxicity, op5_sentence_spans, op6_language, op7_pseudonyms, op8_jaccard, op9_suffixes, op10_pieces,
-                          op11_prefix_trie)
+                          op11_prefix_trie, op12_vantage_trees, op13_whitening)
 }
 
 _JACCARD_SQL = r"""
