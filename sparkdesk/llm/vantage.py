@@ -15,7 +15,8 @@ inequality.
 
 Rows: vectors that are null, empty or zero, or hold null or non-finite components, and rows without an id take no part,
 nor as queries. Of rows with one id the smallest vector counts. Vectors of different length never meet. Equal products
-are ranked by id; fewer candidates than asked give fewer rows; an empty table gives none. Other columns are not read.
+are ranked by id; fewer candidates than asked give fewer rows; an empty table gives none. Squares of components must stay
+in the range of doubles. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,8 +48,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     v = F.col(vector)
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & fine)
-    largest = F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))  # taken out first, so that squares stay in range
-    norm = largest * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x.cast("double") / largest) * (x.cast("double") / largest)))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     rows = rows.groupBy("id").agg(F.min("v").alias("v")).withColumns({"dim": F.size("v"), "norm": norm})
     return rows.withColumn("shell", F.floor(F.log2("norm") * 3 + 0.5).cast("int"))
 
