@@ -1,8 +1,9 @@
 """Merges as DataFrame rewrites.
 
-Gold state is kept mergeable - sums, counts and maxima - and means are derived on read. Merging a
-batch is then a union and one aggregation: order of batches does not matter, nulls do not stick,
-and a hot key is reduced before the shuffle. Replays are stopped by the set of applied days.
+Gold state is a cube (sums, counts, largest values) and means are derived on read, so merging a batch is a union and one
+aggregation: the order of batches does not matter, nulls do not stick, and a hot key is reduced before the shuffle.
+What has been merged is known by silver itself: only rows whose key is not stored yet are new, so a day may be delivered
+twice or in halves. Corrections rebuild the cells they touch.
 """
 
 from __future__ import annotations
@@ -10,27 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.functions.calendar import year_month
-from sparkdesk.operators.demand import transfer_monthly as build_transfer_monthly
-from sparkdesk.operators.demand import transfer_pattern as build_transfer_pattern
-from sparkdesk.operators.demand import weekday_load
+from sparkdesk.operators import demand as D
+from sparkdesk.operators.cube import smallest_row
+
+
+def fresh_rows(stored: DataFrame, arriving: DataFrame, keys: list[str]) -> DataFrame:
+    """Arriving rows whose key is not stored yet, one per key (the smallest of repeats)."""
+    return smallest_row(arriving, keys).join(stored.select(*keys), keys, "left_anti").select(arriving.columns)
 
 
 def insert_only(stored: DataFrame, arriving: DataFrame, keys: list[str]) -> DataFrame:
     """Stored rows plus arriving rows whose key is not stored yet (M1, M2)."""
-    fresh = arriving.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
-    return stored.unionByName(fresh)
+    return stored.unionByName(fresh_rows(stored, arriving, keys))
 
 
-def upsert(stored: DataFrame, arriving: DataFrame, keys: list[str], latest: str | None = None) -> DataFrame:
+def upsert(stored: DataFrame, arriving: DataFrame, keys: list[str], latest: str) -> DataFrame:
     """Arriving rows replace stored rows of the same key (S12); of several arriving rows of a key the one largest in ``latest`` counts."""
-    rest = [c for c in arriving.columns if c not in keys]
-    if latest:
-        best = arriving.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(latest, *[c for c in rest if c != latest])).alias("_row"))
-        fresh = best.select(*keys, "_row.*").select(arriving.columns)
-    else:
-        fresh = arriving.dropDuplicates(keys)
-    return stored.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+    rest = [c for c in arriving.columns if c not in keys and c != latest]
+    best = arriving.groupBy(*keys).agg(F.max(F.struct(latest, *rest)).alias("_row"))
+    fresh = best.select(*keys, "_row.*").select(arriving.columns)
+    return stored.join(fresh.select(*keys), keys, "left_anti").select(stored.columns).unionByName(fresh)
 
 
 def replace_groups(stored: DataFrame, arriving: DataFrame, group: str) -> DataFrame:
@@ -43,74 +43,32 @@ def append_missing(stored: DataFrame, arriving: DataFrame, keys: list[str]) -> D
     return arriving.join(stored.select(*keys).distinct(), keys, "left_anti")
 
 
-def unapplied(daily: DataFrame, applied: DataFrame, day: str = "use_ymd") -> DataFrame:
-    """Rows of days that have not been merged yet; makes every merge below replay-safe."""
-    return daily.join(applied.select(day), day, "left_anti")
-
-
-# --- running means ------------------------------------------------------------------------------
-def mean_state(daily: DataFrame, keys: list[str]) -> DataFrame:
-    """Mergeable state behind a running mean: sums, counts of known values, maxima."""
-    return daily.groupBy(*keys).agg(
-        F.sum("ride_num").alias("sum_ride"), F.count("ride_num").alias("n_ride"), F.max("ride_num").alias("max_ride"),
-        F.sum("alight_num").alias("sum_alight"), F.count("alight_num").alias("n_alight"),
-        F.max("alight_num").alias("max_alight"),
-    )
-
-
-def merge_mean_state(state: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Combine two states of the same keys (M3, M5)."""
-    sums = ("sum_ride", "n_ride", "sum_alight", "n_alight")
-    return state.unionByName(delta).groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in ("max_ride", "max_alight")]
-    )
-
-
-def read_means(state: DataFrame, keys: list[str]) -> DataFrame:
-    """Averages, maxima and number of days out of a state; null days leave a row untouched."""
-    return state.select(
-        *keys,
-        (F.col("sum_ride") / F.nullif("n_ride", F.lit(0))).alias("avg_ride"),
-        (F.col("sum_alight") / F.nullif("n_alight", F.lit(0))).alias("avg_alight"),
-        "max_ride", "max_alight", F.col("n_ride").alias("data_days"),
-    )
-
-
-def read_pattern(state: DataFrame, keys: list[str]) -> DataFrame:
-    """Transfer pattern rows (averages, sums, day count) out of a state (M5)."""
-    return state.select(
-        *keys,
-        (F.col("sum_ride") / F.nullif("n_ride", F.lit(0))).alias("avg_ride"),
-        (F.col("sum_alight") / F.nullif("n_alight", F.lit(0))).alias("avg_alight"),
-        F.col("sum_ride").alias("total_ride"), F.col("sum_alight").alias("total_alight"),
-        F.col("n_ride").alias("tp_cnt"),
-    )
-
+# --- gold state -----------------------------------------------------------------------------------
+def merged_daily(cube: DataFrame, silver: DataFrame, arriving: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """State and silver after a batch of silver rows (M3-M6): (cube, fresh rows to append to silver)."""
+    fresh = fresh_rows(silver, arriving, D.DAILY_KEY)
+    return D.DAILY.merge(cube, D.daily_cube(fresh)), fresh
 
-# --- additive tables ------------------------------------------------------------------------------
-def monthly_delta(daily: DataFrame, keys: list[str]) -> DataFrame:
-    return daily.groupBy(*keys, year_month("use_ymd").alias("year_month")).agg(
-        F.sum("ride_num").alias("total_ride"), F.sum("alight_num").alias("total_alight")
-    )
 
+def corrected_daily(cube: DataFrame, silver: DataFrame, changed: DataFrame) -> DataFrame:
+    """State after rows of silver were corrected; ``silver`` holds the corrections, ``changed`` the keys they have.
 
-def merge_sums(state: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Add a batch's sums to the stored sums (M4, M6)."""
-    values = [c for c in state.columns if c not in keys]
-    return state.unionByName(delta).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+    A largest value can't be taken back, so the cells of the touched stations and days are worked out again, all others stay.
+    """
+    stations, days = changed.select("line", "station").distinct(), changed.select("use_ymd").distinct()
+    rest = D.DAILY.without(cube, {"station": stations, "weekday": stations, "month": stations, "day": days})
+    again = D.daily_cube(silver.join(stations, ["line", "station"], "left_semi"), "station", "weekday", "month")
+    return rest.unionByName(again).unionByName(D.daily_cube(silver.join(days, "use_ymd", "left_semi"), "day"))
 
 
 def rebuild_weekly(daily: DataFrame) -> DataFrame:
     """Weekday table rebuilt from all of silver instead of merged (M7)."""
-    return weekday_load(daily)
+    return D.weekday_load(D.daily_cube(daily, "weekday"))
 
 
-def migrate_columns(stored: DataFrame | None, silver: DataFrame, transfer: DataFrame, kind: str) -> DataFrame:
+def migrate_columns(stored: DataFrame | None, silver: DataFrame, kind: str, min_lines: int = 2) -> DataFrame:
     """Stored transfer table if it has the current columns, otherwise a rebuild from silver (M8)."""
-    need, build = {
-        "pattern": ("tp_cnt", build_transfer_pattern),
-        "monthly": ("total_alight", build_transfer_monthly),
-    }[kind]
+    need, build = {"pattern": ("tp_cnt", D.transfer_pattern), "monthly": ("total_alight", D.transfer_monthly)}[kind]
     if stored is not None and need in stored.columns:
         return stored
-    return build(silver, transfer)
+    return build(D.daily_cube(silver, "station", "month"), min_lines)

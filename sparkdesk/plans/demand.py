@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from sparkdesk.functions.calendar import days_in_month, is_weekend, weekday, year_month
 from sparkdesk.operators import demand as D
 from sparkdesk.operators import merging as M
+from sparkdesk.operators.cube import load, save, smallest_row
 from sparkdesk.plans.registry import query
 from sparkdesk.plans.tables import DAILY, HOURLY, VISITS
+from sparkdesk.session import materialize, shared_dir
 
 CUT = "1999-01-01"  # days before are the stored table, days from here on arrive later
 MIN_LINES = 5
@@ -27,8 +29,9 @@ def raw_daily(t):
         F.col("station").alias("SBWY_STNS_NM"), F.col("ride_num").cast("string").alias("GTON_TNOPE"),
         F.col("alight_num").cast("string").alias("GTOFF_TNOPE"),
     )
-    bad = good.where(F.col("USE_YMD").endswith("10")).withColumn("GTON_TNOPE", F.lit("n/a"))
-    return good.unionByName(bad).unionByName(good.where(F.col("USE_YMD").endswith("20")))
+    twins = F.when(F.col("USE_YMD").endswith("10"), F.array(F.col("GTON_TNOPE"), F.lit("n/a"))).when(
+        F.col("USE_YMD").endswith("20"), F.array("GTON_TNOPE", "GTON_TNOPE")).otherwise(F.array("GTON_TNOPE"))
+    return good.withColumn("GTON_TNOPE", F.explode(twins)).select(good.columns)
 
 
 def hourly_wide(t, hours=D.HOURS):
@@ -70,19 +73,21 @@ def _(t):
     return D.daily_silver(raw_daily(t)).agg(F.count("*").alias("kept"), F.countDistinct("station").alias("stations"))
 
 
-@query("p03_gaps_to_zero", f"""WITH {HOURLY}, h AS (SELECT unnest(range(4, 24)) AS hour)
-  SELECT k.use_mm, k.line, k.station, h.hour, coalesce(x.ride_num, 0) AS ride_num
+FILLED = f"""{HOURLY}, h AS (SELECT unnest(range(4, 24)) AS hour), filled AS (
+  SELECT k.use_mm, k.line, k.station, h.hour, coalesce(x.ride_num, 0) AS ride_num, coalesce(x.alight_num, 0) AS alight_num
   FROM (SELECT DISTINCT use_mm, line, station FROM hourly) k CROSS JOIN h
-  LEFT JOIN hourly x ON x.use_mm = k.use_mm AND x.line = k.line AND x.station = k.station AND x.hour = h.hour""")
+  LEFT JOIN hourly x ON x.use_mm = k.use_mm AND x.line = k.line AND x.station = k.station AND x.hour = h.hour)"""
+
+
+@query("p03_gaps_to_zero", f"WITH {FILLED} SELECT use_mm, line, station, hour, ride_num FROM filled")
 def _(t):
     long = D.hourly_silver(hourly_wide(t))
     return long.select("use_mm", "line", "station", F.col("hour").cast("bigint").alias("hour"), "ride_num")
 
 
-@query("p04_wide_to_long", f"""WITH {HOURLY} SELECT use_mm, line, station, CAST(hour AS INTEGER) AS hour, ride_num, alight_num
-  FROM hourly""")
+@query("p04_wide_to_long", f"WITH {FILLED} SELECT use_mm, line, station, CAST(hour AS INTEGER) AS hour, ride_num, alight_num FROM filled")
 def _(t):
-    return D.hourly_silver(hourly_wide(t)).where("alight_num > 0")
+    return D.hourly_silver(hourly_wide(t))
 
 
 @query("p16_weekday_flag", f"""WITH {DAILY} SELECT strftime(use_ymd, '%Y-%m-%d') AS use_ymd,
@@ -109,7 +114,8 @@ def _(t):
   round(coalesce(avg(ride_num), 0.0), 6) AS avg_ride, round(coalesce(avg(alight_num), 0.0), 6) AS avg_alight,
   CAST(dayofweek(use_ymd) IN (0, 6) AS BIGINT) AS is_weekend FROM daily GROUP BY 1, 2, 3, 6""")
 def _(t):
-    return r(D.weekly_export(D.weekday_load(t.daily)))
+    safe = D.export_safe(D.weekday_load(D.daily_cube(t.daily, "weekday")), ["line", "station", "day_of_week", "avg_ride", "avg_alight", "is_weekend"])
+    return r(safe)
 
 
 @query("p20_optional_filters", f"""WITH {DAILY} SELECT {DAILY_OUT} FROM daily
@@ -121,22 +127,22 @@ def _(t):
 
 @query("j17_dedup_key", f"WITH {DAILY} SELECT {DAILY_OUT} FROM daily")
 def _(t):
-    twice = t.daily.unionByName(t.daily)
-    return day_text(twice.dropDuplicates(D.DAILY_KEY))
+    other = t.daily.withColumn("ride_num", F.col("ride_num") + 1)  # a repeat that differs: the smaller row stays
+    return day_text(smallest_row(other.unionByName(t.daily), D.DAILY_KEY))
 
 
 # --- gold ---------------------------------------------------------------------------------------
 @query("a01_station_load", f"""WITH {GOLD} SELECT line, station, round(avg_ride, 6) AS avg_ride, round(avg_alight, 6) AS avg_alight,
   max_ride, max_alight, data_days FROM gold""")
 def _(t):
-    return r(D.station_load(t.daily))
+    return r(D.station_load(D.daily_cube(t.daily, "station")))
 
 
 @query("a02_weekday_load", f"""WITH {DAILY} SELECT line, station, CAST(dayofweek(use_ymd) + 1 AS INTEGER) AS day_of_week,
   dayofweek(use_ymd) IN (0, 6) AS is_weekend, round(avg(ride_num), 6) AS avg_ride, round(avg(alight_num), 6) AS avg_alight,
   count(*) AS week_cnt FROM daily GROUP BY 1, 2, 3, 4""")
 def _(t):
-    return r(D.weekday_load(t.daily))
+    return r(D.weekday_load(D.daily_cube(t.daily, "weekday")))
 
 
 MONTHLY_SQL = f"""WITH {DAILY} SELECT line, station, strftime(use_ymd, '%Y-%m') AS year_month,
@@ -145,12 +151,12 @@ MONTHLY_SQL = f"""WITH {DAILY} SELECT line, station, strftime(use_ymd, '%Y-%m')
 
 @query("a03_monthly_load", MONTHLY_SQL)
 def _(t):
-    return D.monthly_load(t.daily)
+    return D.monthly_load(D.daily_cube(t.daily, "month"))
 
 
 @query("a04_transfer_stations", f"WITH {TRANSFER} SELECT * FROM transfer")
 def _(t):
-    return D.transfer_stations(t.visits, MIN_LINES)
+    return D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES)
 
 
 PATTERN_SQL = f"""WITH {TRANSFER} SELECT station, line, round(avg(ride_num), 4) AS avg_ride, round(avg(alight_num), 6) AS avg_alight,
@@ -164,7 +170,7 @@ def pattern_out(df):
 
 @query("a05_transfer_pattern", PATTERN_SQL)
 def _(t):
-    return pattern_out(D.transfer_pattern(t.visits, D.transfer_stations(t.visits, MIN_LINES)))
+    return pattern_out(D.transfer_pattern(D.daily_cube(t.visits, "station"), MIN_LINES))
 
 
 TMONTH_SQL = f"""WITH {TRANSFER} SELECT station, strftime(use_ymd, '%Y-%m') AS year_month,
@@ -174,20 +180,23 @@ TMONTH_SQL = f"""WITH {TRANSFER} SELECT station, strftime(use_ymd, '%Y-%m') AS y
 
 @query("a06_transfer_monthly", TMONTH_SQL)
 def _(t):
-    return D.transfer_monthly(t.visits, D.transfer_stations(t.visits, MIN_LINES))
+    return D.transfer_monthly(D.daily_cube(t.visits, "station", "month"), MIN_LINES)
 
 
 @query("a07_hourly_load", f"""WITH {GOLD_HOURLY} SELECT line, station, hour, round(avg_ride, 6) AS avg_ride,
   round(avg_alight, 6) AS avg_alight, round(max_ride, 6) AS max_ride, data_months FROM gold_hourly""")
 def _(t):
-    return r(D.hourly_load(t.hourly))
+    return r(D.hourly_load(D.hourly_cube(t.hourly, "hour")))
 
 
-@query("a08_table_meta", f"""WITH {DAILY} SELECT strftime(min(use_ymd), '%Y-%m-%d') AS min_date, strftime(max(use_ymd), '%Y-%m-%d') AS max_date,
+_META_SQL = f"""WITH {DAILY} SELECT strftime(min(use_ymd), '%Y-%m-%d') AS min_date, strftime(max(use_ymd), '%Y-%m-%d') AS max_date,
   count(DISTINCT use_ymd) AS total_days, count(DISTINCT station) AS total_stations,
-  (SELECT string_agg(m, ',' ORDER BY m) FROM (SELECT DISTINCT strftime(use_ymd, '%Y-%m') AS m FROM daily)) AS months FROM daily""")
+  (SELECT string_agg(m, ',' ORDER BY m) FROM (SELECT DISTINCT strftime(use_ymd, '%Y-%m') AS m FROM daily)) AS months FROM daily"""
+
+
+@query("a08_table_meta", _META_SQL)
 def _(t):
-    return D.table_meta(t.daily)
+    return D.table_meta(D.daily_cube(t.daily, "day", "station"))
 
 
 @query("a09_daily_trend", f"""WITH {DAILY} SELECT station, strftime(use_ymd, '%Y-%m-%d') AS date, CAST(sum(ride_num) AS BIGINT) AS ride_num,
@@ -200,34 +209,32 @@ def _(t):
   CAST(sum(alight_num) AS BIGINT) AS total_alight FROM visits SEMI JOIN transfer USING (station)
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def _(t):
-    ts = D.transfer_stations(t.visits, MIN_LINES)
-    return D.busiest_transfer(D.transfer_pattern(t.visits, ts), D.transfer_monthly(t.visits, ts))
+    return D.busiest_transfer(D.daily_cube(t.visits, "station"), MIN_LINES)
 
 
 @query("a10_busiest_transfer_month", f"""WITH {TRANSFER} SELECT station, CAST(sum(ride_num) AS BIGINT) AS total_ride,
   CAST(sum(alight_num) AS BIGINT) AS total_alight FROM visits SEMI JOIN transfer USING (station)
   WHERE strftime(use_ymd, '%Y-%m') = '1998-05' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def _(t):
-    ts = D.transfer_stations(t.visits, MIN_LINES)
-    return D.busiest_transfer(D.transfer_pattern(t.visits, ts), D.transfer_monthly(t.visits, ts), "1998-05")
+    return D.busiest_transfer(D.daily_cube(t.visits, "station", "month"), MIN_LINES, "1998-05")
 
 
 @query("a11_hour_profile", f"""WITH {GOLD_HOURLY} SELECT station, hour, round(sum(avg_ride), 6) AS avg_ride,
   round(sum(avg_alight), 6) AS avg_alight, round(sum(max_ride), 6) AS max_ride FROM gold_hourly GROUP BY 1, 2""")
 def _(t):
-    return r(D.hour_profile(D.hourly_load(t.hourly)))
+    return r(D.hour_profile(D.hourly_load(D.hourly_cube(t.hourly, "hour"))))
 
 
 @query("a11_hour_profile_month", f"""WITH {HOURLY} SELECT station, use_mm, hour, round(sum(ride_num / CAST(dim AS DOUBLE)), 6) AS avg_ride,
   round(sum(alight_num / CAST(dim AS DOUBLE)), 6) AS avg_alight, round(max(ride_num / CAST(dim AS DOUBLE)), 6) AS max_ride
   FROM (SELECT *, day(last_day(strptime(use_mm || '01', '%Y%m%d'))) AS dim FROM hourly) GROUP BY 1, 2, 3""")
 def _(t):
-    return r(D.hour_profile_month(t.hourly))
+    return r(D.hour_profile_month(D.hourly_cube(t.hourly, "month_hour")))
 
 
 @query("a12_heat_map", f"WITH {GOLD_HOURLY} SELECT station, hour, round(sum(avg_ride), 6) AS avg_ride FROM gold_hourly GROUP BY 1, 2")
 def _(t):
-    return r(D.heat_map(D.hourly_load(t.hourly)))
+    return r(D.heat_map(D.hourly_load(D.hourly_cube(t.hourly, "hour"))))
 
 
 _CELLS = ", ".join(f"coalesce(round(sum(CASE WHEN hour = {h} THEN v END), 4), 0.0) AS h{h:02d}" for h in D.HOURS)
@@ -237,19 +244,19 @@ _CELLS = ", ".join(f"coalesce(round(sum(CASE WHEN hour = {h} THEN v END), 4), 0.
   busy AS (SELECT station FROM cell GROUP BY 1 ORDER BY round(sum(v), 6) DESC, station LIMIT 30)
   SELECT station, {_CELLS} FROM cell SEMI JOIN busy USING (station) GROUP BY 1""")
 def _(t):
-    return D.heat_map_wide(D.hourly_load(t.hourly))
+    return D.heat_map_wide(D.hourly_load(D.hourly_cube(t.hourly, "hour")))
 
 
 @query("a13_network_by_hour", f"""WITH {GOLD_HOURLY} SELECT hour, round(sum(avg_ride), 4) AS avg_ride, round(sum(avg_alight), 4) AS avg_alight
   FROM gold_hourly GROUP BY 1""")
 def _(t):
-    return r(D.network_by_hour(D.hourly_load(t.hourly)), 4)
+    return r(D.network_by_hour(D.hourly_load(D.hourly_cube(t.hourly, "hour"))), 4)
 
 
 @query("a13_line_hour_mean", f"""WITH {GOLD_HOURLY} SELECT line, hour, round(avg(avg_ride), 6) AS avg_ride FROM gold_hourly
   WHERE line IN ('A', 'N') GROUP BY 1, 2""")
 def _(t):
-    return r(D.line_hour_mean(D.hourly_load(t.hourly), ["A", "N"]))
+    return r(D.line_hour_mean(D.hourly_load(D.hourly_cube(t.hourly, "hour")), ["A", "N"]))
 
 
 PEAK = f"""{GOLD_HOURLY}, peak AS (SELECT station, hour, avg_ride FROM (
@@ -259,29 +266,29 @@ PEAK = f"""{GOLD_HOURLY}, peak AS (SELECT station, hour, avg_ride FROM (
 
 @query("w01_peak_hours", f"WITH {PEAK} SELECT station, hour, round(avg_ride, 6) AS avg_ride FROM peak")
 def _(t):
-    return r(D.peak_hours(D.hourly_load(t.hourly)))
+    return r(D.peak_hours(D.hourly_load(D.hourly_cube(t.hourly, "hour"))))
 
 
 @query("a14_peak_hour_counts", f"WITH {PEAK} SELECT hour, count(*) AS stations FROM peak GROUP BY 1")
 def _(t):
-    return D.peak_hour_counts(D.peak_hours(D.hourly_load(t.hourly)))
+    return D.peak_hour_counts(D.peak_hours(D.hourly_load(D.hourly_cube(t.hourly, "hour"))))
 
 
 @query("a15_network_by_day", f"""WITH {DAILY} SELECT strftime(use_ymd, '%Y-%m-%d') AS use_ymd, CAST(sum(ride_num) AS BIGINT) AS ride_num,
   CAST(sum(alight_num) AS BIGINT) AS alight_num FROM daily GROUP BY 1""")
 def _(t):
-    return day_text(D.network_by_day(t.daily))
+    return day_text(D.network_by_day(D.daily_cube(t.daily, "day")))
 
 
 @query("a15_line_ranking", f"WITH {GOLD} SELECT line, round(avg(avg_ride), 6) AS avg_ride, count(*) AS stations FROM gold GROUP BY 1")
 def _(t):
-    return r(D.line_ranking(D.station_load(t.daily)))
+    return r(D.line_ranking(D.station_load(D.daily_cube(t.daily, "station"))))
 
 
 @query("j05_transfer_rows", f"""WITH {TRANSFER} SELECT strftime(use_ymd, '%Y-%m-%d') AS use_ymd, line, station, ride_num, alight_num
   FROM visits SEMI JOIN transfer USING (station)""")
 def _(t):
-    return day_text(D.at_transfer(t.visits, D.transfer_stations(t.visits, MIN_LINES))).select(
+    return day_text(D.at_transfer(t.visits, D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES))).select(
         "use_ymd", "line", "station", "ride_num", "alight_num")
 
 
@@ -291,47 +298,70 @@ VGOLD = """vgold AS (SELECT line, station, avg(ride_num) AS avg_ride FROM visits
 @query("j06_transfer_flag", f"""WITH {TRANSFER}, {VGOLD} SELECT line, station, round(avg_ride, 4) AS avg_ride,
   station IN (SELECT station FROM transfer) AS is_transfer FROM vgold""")
 def _(t):
-    gold = D.station_load(t.visits).select("line", "station", "avg_ride")
-    return r(D.flag_member(gold, D.transfer_stations(t.visits, MIN_LINES), "station", "is_transfer"), 4)
+    gold = D.station_load(D.daily_cube(t.visits, "station")).select("line", "station", "avg_ride")
+    return r(D.flag_member(gold, D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES), "station", "is_transfer"), 4)
 
 
 @query("a16_transfer_compare", f"""WITH {TRANSFER}, {VGOLD} SELECT station IN (SELECT station FROM transfer) AS is_transfer,
   round(avg(avg_ride), 3) AS mean_avg_ride, count(*) AS n FROM vgold GROUP BY 1""")
 def _(t):
-    gold = D.station_load(t.visits).select("line", "station", "avg_ride")
-    flagged = D.flag_member(gold, D.transfer_stations(t.visits, MIN_LINES), "station", "is_transfer")
+    gold = D.station_load(D.daily_cube(t.visits, "station")).select("line", "station", "avg_ride")
+    flagged = D.flag_member(gold, D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES), "station", "is_transfer")
     return r(D.compare_groups(flagged, "is_transfer", "avg_ride"), 3)
 
 
-@query("a32_run_report", f"""WITH {GOLD} SELECT 'silver' AS table_name, count(*) AS n_rows, count(DISTINCT station) AS stations FROM daily
-  UNION ALL SELECT 'station_load', count(*), count(DISTINCT station) FROM gold
-  UNION ALL SELECT 'monthly_load', count(*), count(DISTINCT station) FROM (SELECT DISTINCT line, station, strftime(use_ymd, '%Y-%m') FROM daily)""")
+@query("a32_run_report", f"""WITH {GOLD}, {GOLD_HOURLY}, parts AS (
+  SELECT 'silver' AS table_name, count(*) AS n_rows, count(DISTINCT station) AS stations, NULL AS first_hour, NULL AS last_hour FROM daily
+  UNION ALL SELECT 'station', count(*), count(DISTINCT station), NULL, NULL FROM gold
+  UNION ALL SELECT 'weekday', count(*), count(DISTINCT station), NULL, NULL FROM (SELECT DISTINCT line, station, dayofweek(use_ymd) FROM daily)
+  UNION ALL SELECT 'month', count(*), count(DISTINCT station), NULL, NULL FROM (SELECT DISTINCT line, station, strftime(use_ymd, '%Y-%m') FROM daily)
+  UNION ALL SELECT 'hour', count(*), count(DISTINCT station), min(hour), max(hour) FROM gold_hourly
+  UNION ALL SELECT 'month_hour', count(*), count(DISTINCT station), min(hour), max(hour) FROM (SELECT DISTINCT station, use_mm, hour FROM hourly))
+  SELECT table_name, n_rows, stations, CAST(first_hour AS INTEGER) AS first_hour, CAST(last_hour AS INTEGER) AS last_hour FROM parts""")
+def _(t):
+    return D.run_report(materialize(D.daily_cube(t.daily), "a32"), materialize(D.hourly_cube(t.hourly), "a32"))
+
+
+# one job, one scan of silver, all daily tables; the tables are read from their folders
+def _stored_cube(t):
+    path = shared_dir(t.spark, "gold")
+    cube = D.daily_cube(t.daily)
+    save(cube, path)
+    return load(t.spark, path, cube)
+
+
+@query("a03_monthly_from_cube", MONTHLY_SQL)
+def _(t):
+    return D.monthly_load(_stored_cube(t))
+
+
+@query("a08_meta_from_cube", _META_SQL)
 def _(t):
-    return D.run_report(t.daily, {"station_load": D.station_load(t.daily), "monthly_load": D.monthly_load(t.daily)})
+    return D.table_meta(_stored_cube(t))
 
 
 # --- rankings and ordered reads ---------------------------------------------------------------------
 @query("w02_top_stations", f"""WITH {GOLD} SELECT line, station, round(avg_ride, 6) AS avg_ride, round(avg_alight, 6) AS avg_alight,
   max_ride, max_alight, data_days FROM gold ORDER BY round(avg_ride, 6) DESC, line, station LIMIT 10""")
 def _(t):
-    return D.top_stations(r(D.station_load(t.daily)))
+    return D.top_stations(r(D.station_load(D.daily_cube(t.daily, "station"))))
 
 
 @query("w03_rush_boarding", f"""WITH {GOLD_HOURLY} SELECT station, round(sum(avg_ride), 6) AS avg_ride FROM gold_hourly WHERE hour = 8
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def _(t):
-    return D.rush_ranking(D.hourly_load(t.hourly), 8, "avg_ride")
+    return D.rush_ranking(D.hourly_load(D.hourly_cube(t.hourly, "hour")), 8, "avg_ride")
 
 
 @query("w03_rush_alighting", f"""WITH {GOLD_HOURLY} SELECT station, round(sum(avg_alight), 6) AS avg_alight FROM gold_hourly WHERE hour = 18
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def _(t):
-    return D.rush_ranking(D.hourly_load(t.hourly), 18, "avg_alight")
+    return D.rush_ranking(D.hourly_load(D.hourly_cube(t.hourly, "hour")), 18, "avg_alight")
 
 
 @query("w04_ordered_transfer", f"WITH {TRANSFER} SELECT * FROM transfer ORDER BY line_count DESC, station")
 def _(t):
-    return D.transfer_stations(t.visits, MIN_LINES).orderBy(F.col("line_count").desc(), "station")
+    return D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES).orderBy(F.col("line_count").desc(), "station")
 
 
 @query("w05_top_total", f"""WITH {DAILY} SELECT {DAILY_OUT}, ride_num + alight_num AS total FROM daily
@@ -347,7 +377,7 @@ def _(t):
   (SELECT station, hour, row_number() OVER (PARTITION BY station ORDER BY alight DESC, hour) AS k FROM cell) b
   ON a.station = b.station AND a.k = 1 AND b.k = 1""")
 def _(t):
-    return D.peak_hour_of(D.hourly_load(t.hourly))
+    return D.peak_hour_of(D.hourly_load(D.hourly_cube(t.hourly, "hour")))
 
 
 # --- merges -------------------------------------------------------------------------------------
@@ -378,46 +408,60 @@ def _(t):
 @query("m02_upsert_daily", f"""WITH {DAILY} SELECT strftime(use_ymd, '%Y-%m-%d') AS use_ymd, line, station,
   CASE WHEN year(use_ymd) = 1998 THEN ride_num + 1 ELSE ride_num END AS ride_num, alight_num FROM daily""")
 def _(t):
-    return day_text(M.upsert(stored_daily(t), arriving_daily(t), D.DAILY_KEY))
+    first = arriving_daily(t)
+    again = first.withColumn("alight_num", F.col("alight_num") + 7)  # an earlier delivery that a later one replaces
+    arriving = again.withColumn("at", F.lit(1)).unionByName(first.withColumn("at", F.lit(2)))
+    return day_text(M.upsert(stored_daily(t).withColumn("at", F.lit(0)), arriving, D.DAILY_KEY, "at").drop("at"))
 
 
-def fresh_days(t):
-    """Re-delivered days are filtered out by the applied-days set before any additive merge."""
-    applied = stored_daily(t).select("use_ymd").distinct()
-    return M.unapplied(arriving_daily(t), applied)
+def _cube_in_batches(t, daily):
+    """The cube of a table that arrives in three batches: days before the cut, a re-delivery with more, half a day at a time."""
+    cut = F.lit(CUT).cast("date")
+    old, late = daily.where(F.col("use_ymd") < cut), daily.where(F.col("use_ymd") >= cut)
+    half = F.crc32(F.col("station").cast("binary")) % 2 == 0
+    cube, fresh = M.merged_daily(D.daily_cube(old), old, old.where(F.year("use_ymd") == 1998).unionByName(late.where(half)))
+    silver = old.unionByName(fresh)
+    return M.merged_daily(materialize(cube, "cube"), silver, late)[0]
 
 
 @query("m03_running_mean", f"""WITH {GOLD} SELECT line, station, round(avg_ride, 6) AS avg_ride, round(avg_alight, 6) AS avg_alight,
   max_ride, max_alight, data_days FROM gold""")
 def _(t):
-    k = ["line", "station"]
-    state = M.merge_mean_state(M.mean_state(stored_daily(t), k), M.mean_state(fresh_days(t), k), k)
-    return r(M.read_means(state, k))
+    return r(D.station_load(_cube_in_batches(t, t.daily)))
 
 
-@query("m04_additive_month", MONTHLY_SQL)
+@query("m03_corrected_mean", f"""WITH {DAILY.replace("CAST(sum(l_quantity) AS BIGINT) AS ride_num", "CAST(sum(l_quantity) AS BIGINT) // CASE WHEN CAST(l_shipdate AS DATE) = DATE '1998-03-04' THEN 2 ELSE 1 END AS ride_num")}
+  SELECT line, station, round(avg(ride_num), 6) AS avg_ride, max(ride_num) AS max_ride, count(*) AS data_days FROM daily GROUP BY 1, 2""")
 def _(t):
-    k = ["line", "station"]
-    return M.merge_sums(M.monthly_delta(stored_daily(t), k), M.monthly_delta(fresh_days(t), k), [*k, "year_month"])
+    wrong = F.col("use_ymd") == F.lit("1998-03-04").cast("date")
+    right = t.daily.withColumn("ride_num", F.when(wrong, F.floor(F.col("ride_num") / 2)).otherwise(F.col("ride_num")))
+    cube = M.corrected_daily(D.daily_cube(t.daily), right, t.daily.where(wrong))
+    return r(D.station_load(cube).select("line", "station", "avg_ride", "max_ride", "data_days"))
 
 
-def _visit_split(t):
-    cut = F.lit(CUT).cast("date")
-    ts = D.transfer_stations(t.visits, MIN_LINES)
-    return D.at_transfer(t.visits.where(F.col("use_ymd") < cut), ts), D.at_transfer(t.visits.where(F.col("use_ymd") >= cut), ts)
+@query("m04_additive_month", MONTHLY_SQL)
+def _(t):
+    return D.monthly_load(_cube_in_batches(t, t.daily))
 
 
 @query("m05_transfer_pattern_merge", PATTERN_SQL)
 def _(t):
-    k = ["station", "line"]
-    old, new = _visit_split(t)
-    return pattern_out(M.read_pattern(M.merge_mean_state(M.mean_state(old, k), M.mean_state(new, k), k), k))
+    return pattern_out(D.transfer_pattern(_cube_in_batches(t, t.visits), MIN_LINES))
 
 
 @query("m06_transfer_month_merge", TMONTH_SQL)
 def _(t):
-    old, new = _visit_split(t)
-    return M.merge_sums(M.monthly_delta(old, ["station"]), M.monthly_delta(new, ["station"]), ["station", "year_month"])
+    return D.transfer_monthly(_cube_in_batches(t, t.visits), MIN_LINES)
+
+
+@query("m06_late_transfer", f"""WITH {TRANSFER}, early AS (
+    SELECT station FROM visits WHERE use_ymd < DATE '{CUT}' GROUP BY 1 HAVING count(DISTINCT line) < {MIN_LINES})
+  SELECT station, strftime(use_ymd, '%Y-%m') AS year_month, CAST(sum(ride_num) AS BIGINT) AS total_ride, CAST(sum(alight_num) AS BIGINT) AS total_alight
+  FROM visits SEMI JOIN transfer USING (station) SEMI JOIN early USING (station) GROUP BY 1, 2""")
+def _(t):
+    old = D.daily_cube(t.visits.where(F.col("use_ymd") < F.lit(CUT).cast("date")), "station")
+    not_yet = D.DAILY.view(old, "station").select("station").distinct().join(D.transfer_stations(old, MIN_LINES), "station", "left_anti")
+    return D.transfer_monthly(_cube_in_batches(t, t.visits), MIN_LINES).join(not_yet, "station", "left_semi")
 
 
 @query("m07_rebuild_weekly", f"""WITH {DAILY} SELECT line, station, CAST(dayofweek(use_ymd) + 1 AS INTEGER) AS day_of_week,
@@ -429,6 +473,5 @@ def _(t):
 
 @query("m08_migrate_columns", PATTERN_SQL)
 def _(t):
-    ts = D.transfer_stations(t.visits, MIN_LINES)
-    old_shape = D.transfer_pattern(t.visits, ts).drop("tp_cnt")
-    return pattern_out(M.migrate_columns(old_shape, t.visits, ts, "pattern"))
+    old_shape = D.transfer_pattern(D.daily_cube(t.visits, "station"), MIN_LINES).drop("tp_cnt")
+    return pattern_out(M.migrate_columns(old_shape, t.visits, "pattern", MIN_LINES))

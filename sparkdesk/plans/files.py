@@ -11,9 +11,9 @@ from sparkdesk.operators.companies import latest_and_history
 from sparkdesk.operators.reshape import drop_subtotals
 from sparkdesk.plans.corpus import pages_of
 from sparkdesk.plans.datasets import ANSWERED, answered
-from sparkdesk.plans.demand import CUT, DAILY_OUT, arriving_daily, day_text, hourly_wide, raw_daily, stored_daily
+from sparkdesk.plans.demand import DAILY_OUT, FILLED, arriving_daily, day_text, hourly_wide, raw_daily, stored_daily
 from sparkdesk.plans.registry import query
-from sparkdesk.plans.tables import DAILY, HOURLY, PANEL
+from sparkdesk.plans.tables import DAILY, PANEL
 from sparkdesk.session import shared_dir
 from sparkdesk.sources import readers as R
 from sparkdesk.sources import writers as W
@@ -28,18 +28,17 @@ def _(t):
     return day_text(D.daily_silver(R.read_daily_csv(t.spark, path)))
 
 
-@query("s02_hourly_csv", f"WITH {HOURLY} SELECT use_mm, line, station, hour, ride_num, alight_num FROM hourly")
+@query("s02_hourly_csv", f"WITH {FILLED} SELECT use_mm, line, station, CAST(hour AS INTEGER) AS hour, ride_num, alight_num FROM filled")
 def _(t):
     path = shared_dir(t.spark, "s02")
     hourly_wide(t).write.csv(path, header=True)
-    return D.hourly_silver(R.read_hourly_csv(t.spark, path)).where("alight_num > 0")
+    return D.hourly_silver(R.read_hourly_csv(t.spark, path))
 
 
 @query("s03_file_tree", f"WITH {DAILY} SELECT line, count(*) AS n, CAST(sum(ride_num) AS BIGINT) AS ride_num FROM daily GROUP BY 1")
 def _(t):
     path = shared_dir(t.spark, "s03")
-    for line in ("A", "N", "R"):
-        t.daily.where(F.col("line") == line).write.csv(f"{path}/{line}/raw", header=True)
+    t.daily.withColumn("folder", F.col("line")).write.partitionBy("folder").csv(path, header=True)
     tree = R.read_tree(t.spark, path, "use_ymd string, line string, station string, ride_num bigint, alight_num bigint")
     return tree.groupBy("line").agg(F.count("*").alias("n"), F.sum("ride_num").alias("ride_num"))
 
@@ -48,59 +47,66 @@ def korean_rows(t):
     return t.supplier.select(F.concat(F.lit("구"), F.col("s_nationkey").cast("string")).alias("district"), F.col("s_suppkey").cast("string").alias("key"))
 
 
-@query("s04_encoding_fallback", "SELECT '구' || s_nationkey AS district, CAST(s_suppkey AS VARCHAR) AS key, 'utf8' AS stored_as FROM supplier UNION ALL SELECT '구' || s_nationkey, CAST(s_suppkey AS VARCHAR), 'cp949' FROM supplier")
+@query("s04_encoding_fallback", "SELECT '구' || s_nationkey AS district, CAST(s_suppkey AS VARCHAR) || k AS key FROM supplier CROSS JOIN (SELECT unnest(['', 'b', 'h']) AS k)")
 def _(t):
+    """One folder: files in UTF-8, files in the Korean code page, files with a header of foreign names."""
     path = shared_dir(t.spark, "s04")
 
     @F.pandas_udf("binary")
     def encode(lines: pd.Series) -> pd.Series:
         return lines.map(lambda x: x.encode("cp949"))
 
-    lines, out = korean_rows(t).select(F.concat_ws(",", "district", "key").alias("value")), None
-    for name in ("utf8", "cp949"):
-        stored = lines if name == "utf8" else lines.select(encode("value").cast("string").alias("value"))
-        stored.write.text(f"{path}/{name}")
-        one = R.read_csv_any(t.spark, f"{path}/{name}", "district string, key string").withColumn("stored_as", F.lit(name))
-        out = one if out is None else out.unionByName(one)
-    return out
+    rows = korean_rows(t)
+    line = lambda end: rows.select(F.concat_ws(",", "district", F.concat("key", F.lit(end))).alias("value"))
+    headed = line("h").select(F.concat(F.when(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0, F.lit("자치구,열쇠\n")).otherwise(F.lit("")), "value").alias("value"))
+    line("").write.text(f"{path}/plain")
+    line("b").select(encode("value").cast("string").alias("value")).write.mode("append").text(f"{path}/plain")
+    headed.write.text(f"{path}/headed")
+    plain = R.read_csv_any(t.spark, f"{path}/plain", "district string, key string", header=False)
+    return plain.unionByName(R.read_csv_any(t.spark, f"{path}/headed", "district string, key string"))
 
 
-YEARS = list(range(1996, 2002))
+def block_files(t):
+    """A printed table per district: three head rows (year, item, unit), a subtotal row, two columns per year the district has.
 
-
-def block_file(t):
-    """A printed table: three head rows (year, item, unit), a subtotal row, two columns per year."""
+    Every other file lists its years backwards, so the place of a year differs from file to file.
+    """
     path = shared_dir(t.spark, "block")
-    head = [["x", "name", *[str(y) for y in YEARS for _ in range(2)]], ["x", "name", *["all", "part"] * len(YEARS)], ["x", "name", *["area m2", "rate"] * len(YEARS)]]
-    wide = t.panel.groupBy("district").pivot("year", YEARS).agg(F.first("gas_supply").alias("a"), F.first("total_households").alias("b"))
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    rows = wide.select(F.lit("x"), F.concat(F.lit(" "), "district", F.lit(" ")).alias("name"), *[text(f"{y}_{k}").alias(f"{y}{k}") for y in YEARS for k in "ab"])
-    total = rows.limit(1).withColumn("name", F.lit("소계"))
-    body = rows.unionByName(total).select(F.concat_ws(",", *rows.columns).alias("value"))
-    top = t.spark.createDataFrame([(i, ",".join(h)) for i, h in enumerate(head)], "i int, value string")
-    # one small printed file: head rows first, so it is written in a single sorted part
-    top.unionByName(body.select(F.lit(9).alias("i"), "value")).coalesce(1).sortWithinPartitions("i", "value").select("value").write.text(path)
+    years = F.sort_array(F.collect_list(F.struct("year", "gas_supply", "total_households")))
+    wide = t.panel.groupBy("district").agg(years.alias("y"))
+    wide = wide.withColumn("y", F.when(F.length("district") % 2 == 0, F.reverse("y")).otherwise(F.col("y")))
+    joined = lambda *cells: F.concat_ws(",", *cells)
+    each = lambda a, b: F.array_join(F.transform("y", lambda v: joined(a(v), b(v))), ",")
+    text = lambda k: (lambda v: v[k].cast("string"))
+    fixed = lambda x: (lambda v: F.lit(x))
+    lines = F.array(
+        joined(F.lit("x"), F.lit("name"), each(text("year"), text("year"))), joined(F.lit("x"), F.lit("name"), each(fixed("all"), fixed("part"))),
+        joined(F.lit("x"), F.lit("name"), each(fixed("area m2"), fixed("rate"))),
+        joined(F.lit("x"), F.concat(F.lit(" "), "district", F.lit(" ")), each(text("gas_supply"), text("total_households"))),
+        joined(F.lit("x"), F.lit("소계"), each(text("gas_supply"), text("total_households"))))
+    rows = wide.select("district", F.posexplode(lines).alias("i", "value")).repartition("district").sortWithinPartitions("district", "i")
+    rows.select("district", "value").write.partitionBy("district").text(path)
     return path
 
 
 @query("s05_skip_head_rows", f"WITH {PANEL} SELECT DISTINCT district FROM panel")
 def _(t):
-    body = R.read_headless(t.spark, block_file(t), 2 + 2 * len(YEARS), 3)
+    body = R.read_headless(t.spark, block_files(t), 2, 3)
     return drop_subtotals(body.select(F.col("_c1").alias("district")), "district")
 
 
 @query("s06_head_columns", f"WITH {PANEL} SELECT district, year, CAST(gas_supply AS DOUBLE) AS supply FROM panel")
 def _(t):
-    return drop_subtotals(R.read_block_table(t.spark, block_file(t), "all", "area", "supply"), "district")
+    return drop_subtotals(R.read_block_table(t.spark, block_files(t), "all", "area", "supply"), "district")
 
 
-@query("s07_tolerant_csv", f"WITH {DAILY} SELECT count(*) AS good, (SELECT count(*) FROM daily WHERE day(use_ymd) = 10) AS bad FROM daily")
+@query("s07_tolerant_csv", f"WITH {DAILY} SELECT count(*) AS good, (SELECT 2 * count(*) FROM daily WHERE day(use_ymd) = 10) AS bad FROM daily")
 def _(t):
     path = shared_dir(t.spark, "s07")
     lines = t.daily.select(F.concat_ws(",", "use_ymd", "line", "station", "ride_num", "alight_num").alias("value"), "use_ymd")
-    broken = lines.where(F.dayofmonth("use_ymd") == 10).select(F.concat("value", F.lit(",9,9,9")).alias("value"))
-    lines.select("value").unionByName(broken).write.option("lineSep", "\n").text(path)
-    good, bad = R.read_tolerant_csv(t.spark, path, "use_ymd date, line string, station string, ride_num bigint, alight_num bigint")
+    broken = lines.where(F.dayofmonth("use_ymd") == 10).select(F.explode(F.array(F.concat("value", F.lit(",9,9,9")), F.concat("value", F.lit("x")))).alias("value"))
+    lines.select("value").unionByName(broken).write.text(path)
+    good, bad = R.read_tolerant_csv(t.spark, path, "use_ymd date, line string, station string, ride_num bigint, alight_num bigint", header=False)
     return good.agg(F.count("*").alias("good")).withColumn("bad", bad.agg(F.count("*")).scalar())
 
 
@@ -130,7 +136,7 @@ def _(t):
 @query("s11_new_version", f"WITH {DAILY} SELECT line, station, count(*) AS n, true AS has_new_column FROM daily GROUP BY 1, 2")
 def _(t):
     path = shared_dir(t.spark, "s11")
-    W.write_version(D.station_load(t.daily).select("line", "station"), path, 1)
+    W.write_version(D.station_load(D.daily_cube(t.daily, "station")).select("line", "station"), path, 1)
     W.write_version(t.daily.groupBy("line", "station").agg(F.count("*").alias("n")), path, 2)
     df = W.read_version(t.spark, path)
     return df.withColumn("has_new_column", F.lit("n" in df.columns))
@@ -144,7 +150,8 @@ def _(t):
     path = shared_dir(t.spark, "s12")
     W.write_partitioned(stored_daily(t).withColumn("m", F.date_format("use_ymd", "yyyyMM")), path, "m")
     late = arriving_daily(t).withColumn("m", F.date_format("use_ymd", "yyyyMM"))
-    W.merge_partitions(t.spark, path, late, D.DAILY_KEY, "m")
+    early = late.withColumn("ride_num", F.col("ride_num") * 9)  # a first delivery that the second one replaces
+    W.merge_partitions(t.spark, path, early.withColumn("at", F.lit(1)).unionByName(late.withColumn("at", F.lit(2))), D.DAILY_KEY, "m", "at")
     return day_text(t.spark.read.schema(late.schema).parquet(path).drop("m"))
 
 
@@ -172,9 +179,14 @@ def _(t):
     return R.read_jsonl(t.spark, path, "instruction string, input string, output string, label string, _rcept_no string")
 
 
-@query("s16_export_check", "SELECT count(*) AS written, count(*) AS read, CAST(5 AS INTEGER) AS columns, true AS same FROM documents")
+@query("s16_export_check", """SELECT count(*) AS written, count(*) AS read, 5 AS columns, true AS same,
+  (SELECT count(*) FROM documents) AS less_written, (SELECT count(*) FROM documents) AS less_read, false AS less_same FROM documents""")
 def _(t):
-    return W.export_csv(t.documents, shared_dir(t.spark, "s16"))
+    whole = W.export_csv(t.documents, shared_dir(t.spark, "s16"))
+    path = shared_dir(t.spark, "s16")
+    t.documents.drop("lang").write.csv(path, header=True, escape='"')  # an export that lost a column
+    less = W.compare_export(t.documents, path)
+    return whole.select("*", *[less.select(c).scalar().alias(f"less_{c}") for c in ("written", "read", "same")])
 
 
 @query("s17_two_track", """SELECT CAST(user_id AS BIGINT) AS user_id, max(ts) AS last_ts, arg_max(event_id, ts) AS event_id, (SELECT count(*) FROM events) AS history FROM events GROUP BY 1""")
@@ -182,10 +194,10 @@ def _(t):
     path = shared_dir(t.spark, "s17")
     runs = t.events.select("user_id", "event_id", "ts")
     cut = F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
-    W.save_two_track(t.spark, runs.where(F.col("ts") < cut), f"{path}/latest", f"{path}/history", "user_id", "ts")
     W.save_two_track(t.spark, runs.where(F.col("ts") >= cut), f"{path}/latest", f"{path}/history", "user_id", "ts")
+    W.save_two_track(t.spark, runs.where(F.col("ts") < cut), f"{path}/latest", f"{path}/history", "user_id", "ts")  # older runs that come late
     total = t.spark.read.schema(runs.schema).parquet(f"{path}/history").agg(F.count("*")).scalar()
-    return t.spark.read.schema(runs.schema).parquet(f"{path}/latest").select("user_id", F.col("ts").alias("last_ts"), "event_id", total.alias("history"))
+    return W.read_version(t.spark, f"{path}/latest").select("user_id", F.col("ts").alias("last_ts"), "event_id", total.alias("history"))
 
 
 @query("s17_latest_record", "SELECT CAST(user_id AS BIGINT) AS user_id, arg_max(event_id, ts) AS event_id FROM events GROUP BY 1")
@@ -197,9 +209,6 @@ def _(t):
 @query("s18_stored_periods", "SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'")
 def _(t):
     path = shared_dir(t.spark, "s18")
-    months = t.orders.select(F.date_format("o_orderdate", "yyyyMM").alias("m")).distinct()
-    # one file per month, named by its folder; the listing below only needs the names
-    months.select(F.concat(F.lit("daily_"), "m", F.lit(".csv")).alias("folder"), "m").write.partitionBy("folder").text(path)
-    names = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    period = F.regexp_extract("path", r"daily_(\d{6})\.csv/", 1).alias("period")
-    return names.select(period).where("period BETWEEN '199601' AND '200012'").distinct()
+    months = t.orders.select(F.concat(F.lit("daily_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv")).alias("folder"), F.col("o_orderkey").cast("string").alias("k"))
+    months.write.partitionBy("folder").csv(path)
+    return R.stored_periods(t.spark, path, "199601", "200012", digits=6)

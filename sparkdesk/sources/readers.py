@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkdesk.sources.delimited import records
+
 DAILY_CSV = "USE_YMD string, SBWY_ROUT_LN_NM string, SBWY_STNS_NM string, GTON_TNOPE string, GTOFF_TNOPE string"
 CHUNK_JSON = ("chunk_id string, doc_id string, section string, title string, text string, keywords array<string>, "
               "cluster_id string, cluster_name string")
@@ -39,85 +39,72 @@ def read_tree(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 # Fixed value: the code page of text that is not UTF-8.
 FALLBACK_ENCODING = "cp949"
+ENCODINGS = ("utf-8", FALLBACK_ENCODING)
 
 
-def detect_encoding(spark: SparkSession, path: str, fallback: str = FALLBACK_ENCODING) -> str:
-    """UTF-8 if every line is valid UTF-8, otherwise the Korean code page (S4). One distributed pass."""
-    bad = spark.read.text(path).where(~F.is_valid_utf8("value"))
-    return "utf-8" if bad.isEmpty() else fallback
-
-
-def decoded_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines of a file in any code page Python knows; Spark's own reader knows the Unicode ones only."""
-    lines = spark.read.text(path)
-    if encoding == "utf-8":
-        return lines.select(F.regexp_replace("value", "^\ufeff", "").alias("value"))
-
-    @F.pandas_udf(T.StringType())
-    def decode(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: bytes(b).decode(encoding, errors="replace"))
+def _typed(rows: DataFrame, schema: str, header: bool) -> DataFrame:
+    """Records as columns of ``schema``; ``_fits`` tells whether the width is right and every filled cell can be read.
 
-    return lines.select(decode(F.col("value").cast("binary")).alias("value"))
-
-
-def _parsed(lines: DataFrame, schema: str, header: bool, options: dict[str, str] | None = None) -> DataFrame:
-    names = [f.name for f in T.StructType.fromDDL(schema).fields if f.name != "_corrupt"]
-    body = lines.where(F.col("value") != ",".join(names)) if header else lines
-    return body.select(F.from_csv("value", F.lit(schema), options or {"mode": "PERMISSIVE"}).alias("row")).select("row.*")
+    With a header, a file's first record names its columns: they are taken by name if all asked names are there, in any
+    order, and by position if the names are foreign.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    rows = rows.select(F.col("file").alias("_file"), F.col("row_no").alias("_row_no"), F.col("line").alias("_line"), F.col("cells").alias("_cells"))
+    names = F.array(*[F.lit(f.name) for f in fields])
+    if header:
+        trimmed = F.transform("_cells", lambda c: F.trim(c))
+        heads = rows.where("_row_no = 0").select("_file", trimmed.alias("_head"))
+        rows = rows.where("_row_no > 0").join(heads, "_file")  # one row per file: Spark broadcasts it while it is small
+        by_name = F.forall(names, lambda n: F.array_contains("_head", n))
+        place = lambda i, f: F.when(by_name, F.array_position("_head", f.name)).otherwise(F.lit(i + 1))
+        width = F.size("_head")
+    else:
+        place, width = (lambda i, f: F.lit(i + 1)), F.lit(len(fields))
+    cell = lambda i, f: F.nullif(F.try_element_at("_cells", place(i, f).cast("int")), F.lit(""))
+    cells = [cell(i, f) for i, f in enumerate(fields)]
+    typed = [c.try_cast(f.dataType) for c, f in zip(cells, fields)]
+    fits = F.size("_cells") == width
+    for c, t in zip(cells, typed):
+        fits = fits & (c.isNull() | t.isNotNull())
+    return rows.select("_file", "_row_no", "_line", fits.alias("_fits"), *[t.alias(f.name) for t, f in zip(typed, fields)])
 
 
 def read_csv_any(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """CSV in UTF-8 (with or without byte order mark) or in the Korean code page."""
-    return _parsed(decoded_lines(spark, path, detect_encoding(spark, path)), schema, header)
-
-
-def header_rows(spark: SparkSession, path: str, n: int) -> list[list[str]]:
-    """The first n lines of a file, split into cells. n is the height of a printed table head."""
-    lines = [r.value for r in spark.read.text(path).limit(n).collect()]
-    if lines:
-        lines[0] = lines[0].lstrip("﻿")
-    width = max(len(x.split(",")) for x in lines)
-    parsed = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string").select(
-        "i", F.from_csv("x", F.lit(", ".join(f"_c{j} string" for j in range(width)))).alias("c")).select("i", "c.*")
-    return [[(v or "").strip() for v in row[1:]] for row in sorted(parsed.collect())]
+    """CSV files in UTF-8 (with or without byte order mark) or in the Korean code page, file by file."""
+    rows = _typed(records(spark, path, encodings=ENCODINGS), schema, header)
+    return rows.select(*[f.name for f in T.StructType.fromDDL(schema).fields])
 
 
 def read_headless(spark: SparkSession, path: str, width: int, skip: int) -> DataFrame:
-    """A file with ``skip`` head lines, columns addressed by position as _c0, _c1, ....
-
-    The head can only sit in the block that starts the file; there rows are counted from the block's start.
-    """
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = spark.read.schema(schema).csv(path).select(
-        "*", F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
-    return rows.where((F.col("_start") > 0) | (F.col("_row") >= skip)).drop("_start", "_row")
-
-
-def columns_by_head(head: list[list[str]], item: str | None, unit: str) -> dict[int, int]:
-    """First column per year whose item and unit rows match (S6): {year: position}."""
-    years, items, units = head
-    found: dict[int, int] = {}
-    for pos, (y, it, un) in enumerate(zip(years, items, units)):
-        if re.fullmatch(r"\d+", y) and (item is None or it == item) and unit in un:
-            found.setdefault(int(y), pos)
-    return found
+    """Files with ``skip`` head records each, columns addressed by position as _c0, _c1, ...."""
+    body = records(spark, path, encodings=ENCODINGS).where(F.col("row_no") >= skip)
+    return body.select(*[F.nullif(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(f"_c{i}") for i in range(width)])
 
 
 def read_block_table(spark: SparkSession, path: str, item: str | None, unit: str, value: str, key_column: int = 1) -> DataFrame:
-    """Table with three head rows (year, item, unit) to (district, year, value)."""
-    head = header_rows(spark, path, 3)
-    body = read_headless(spark, path, len(head[0]), 3)
-    cells = F.array(*[
-        F.struct(F.lit(y).cast("bigint").alias("year"), F.replace(f"_c{pos}", F.lit(","), F.lit("")).try_cast("double").alias(value))
-        for y, pos in columns_by_head(head, item, unit).items()])
-    return body.select(F.trim(f"_c{key_column}").alias("district"), F.inline(cells)).dropna(subset=["district", value])
+    """Tables with three head records (year, item, unit) to (district, year, value).
+
+    Each file's own head says which columns count: per year the first one whose item and unit match.
+    """
+    rows = records(spark, path, encodings=ENCODINGS)
+    heads = rows.where("row_no < 3").groupBy("file").agg(F.sort_array(F.collect_list(F.struct("row_no", "cells"))).alias("h"))
+    trimmed = lambda i: F.transform(F.col("h")[i]["cells"], lambda c: F.trim(c))
+    columns = F.filter(
+        F.arrays_zip(trimmed(0).alias("y"), trimmed(1).alias("item"), trimmed(2).alias("unit"), F.sequence(F.lit(1), F.size(F.col("h")[0]["cells"])).alias("at")),
+        lambda c: c["y"].rlike(r"^\d+$") & (F.lit(True) if item is None else c["item"] == item) & F.contains(c["unit"], F.lit(unit)))
+    first = F.filter(columns, lambda c, i: F.array_position(F.transform(columns, lambda x: x["y"]), c["y"]) == i + 1)
+    heads = heads.select("file", first.alias("columns"))
+    body = rows.where("row_no >= 3").join(heads, "file")
+    number = lambda c: F.replace(F.try_element_at("cells", c["at"].cast("int")), F.lit(","), F.lit("")).try_cast("double")
+    cells = F.transform("columns", lambda c: F.struct(c["y"].cast("bigint").alias("year"), number(c).alias(value)))
+    return body.select(F.trim(F.try_element_at("cells", F.lit(key_column + 1))).alias("district"), F.inline(cells)).where(F.col("district") != "").dropna(subset=[value])
 
 
 def read_tolerant_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the lines that do not fit the schema."""
-    full = _parsed(spark.read.text(path), f"{schema}, _corrupt string", header, {"columnNameOfCorruptRecord": "_corrupt"})
-    return full.where("_corrupt IS NULL").drop("_corrupt"), full.where("_corrupt IS NOT NULL").select("_corrupt")
+    """Well-formed rows, and the records that do not fit the schema with their file and number."""
+    rows = _typed(records(spark, path, encodings=ENCODINGS), schema, header)
+    good = rows.where("_fits").select(*[f.name for f in T.StructType.fromDDL(schema).fields])
+    return good, rows.where("NOT _fits").select(F.col("_file").alias("file"), F.col("_row_no").alias("row_no"), F.col("_line").alias("line"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = CHUNK_JSON) -> DataFrame:
@@ -136,7 +123,7 @@ def stored_periods(spark: SparkSession, path: str, start: str | None = None, end
     Only names are listed; no file is opened.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
-    period = F.regexp_extract("path", rf"_(\d{{{digits}}})\.csv$", 1).alias("period")
+    period = F.regexp_extract("path", rf"_(\d{{{digits}}})\.csv(?:/[^/]*)?$", 1).alias("period")  # a file, or a folder of one period's parts
     out = files.select(period).where("period <> ''").distinct()
     if start is not None:
         out = out.where(F.col("period") >= start)

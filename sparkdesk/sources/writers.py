@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.operators.dedup import first_per_key
-from sparkdesk.operators.merging import append_missing, insert_only, upsert
+from sparkdesk.operators.merging import fresh_rows, upsert
 from sparkdesk.session import materialize
 
 
@@ -43,20 +42,25 @@ def touched(spark: SparkSession, path: str, arriving: DataFrame, partition: str)
 
 
 def append_new_keys(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str) -> None:
-    """Insert-only merge into a stored table (M1, M2, S14): stored files are only read, new rows appended."""
+    """Insert-only merge into a stored table (M1, M2, S14): stored files are only read, new rows appended.
+
+    Of arriving rows that repeat a key the smallest is the one stored, in whatever order they come.
+    """
     stored = touched(spark, path, arriving, partition)
-    fresh = materialize(append_missing(stored, arriving.dropDuplicates(keys), keys), "append")
-    write_partitioned(fresh, path, partition, "append")
+    write_partitioned(materialize(fresh_rows(stored, arriving, keys), "append"), path, partition, "append")
 
 
-def merge_partitions(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str, mode: str = "upsert", latest: str | None = None) -> None:
-    """Merge into the touched partitions only.
+def merge_partitions(spark: SparkSession, path: str, arriving: DataFrame, keys: list[str], partition: str, latest: str) -> None:
+    """Upsert into the touched partitions only (S12); of several arriving rows of a key the one largest in ``latest`` counts.
 
-    The merged partitions are first written to the shared folder, so the table is never overwritten
-    while it is being read and a failed run can be repeated.
+    ``latest`` may be a column of the table or one that only the arriving rows have. The merged partitions are first
+    written to the shared folder, so the table is never overwritten while it is being read and a failed run can be repeated.
     """
-    stored = touched(spark, path, arriving, partition)
-    merged = upsert(stored, arriving, keys, latest) if mode == "upsert" else insert_only(stored, arriving, keys)
+    known = spark.read.parquet(path).columns
+    stored = touched(spark, path, arriving if latest in known else arriving.drop(latest), partition)
+    if latest not in known:
+        stored = stored.withColumn(latest, F.lit(None).cast(arriving.schema[latest].dataType))
+    merged = upsert(stored, arriving, keys, latest).select(known)
     overwrite_partitions(materialize(merged, "merge"), path, partition)
 
 
@@ -84,14 +88,39 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def export_csv(df: DataFrame, path: str) -> DataFrame:
     """Write CSV, read it back and report whether rows and columns agree."""
     df.write.mode("overwrite").csv(path, header=True, escape='"')
-    back = df.sparkSession.read.schema(df.schema).csv(path, header=True, escape='"', multiLine=True)
+    return compare_export(df, path)
+
+
+def compare_export(df: DataFrame, path: str) -> DataFrame:
+    """(written, read, columns, same) of a table and its CSV export, whose own header tells the columns."""
+    back = df.sparkSession.read.csv(path, header=True, escape='"', multiLine=True)
     count = lambda d, n: d.agg(F.count("*").alias(n))
     both = count(df, "written").select("written", count(back, "read").scalar().alias("read"), F.lit(len(back.columns)).alias("columns"))
-    return both.withColumn("same", F.col("written") == F.col("read"))
+    return both.withColumn("same", (F.col("written") == F.col("read")) & F.lit(back.columns == df.columns))
 
 
 def save_two_track(spark: SparkSession, runs: DataFrame, latest_path: str, history_path: str, key: str, when: str) -> None:
-    """Append the runs to the history and refresh the latest record of each key."""
+    """Append the runs to the history and refresh the latest record of each key.
+
+    The latest records are versions: each is the one before it and the new runs, so the history is never read again. Of
+    equal times the largest row counts, always the same.
+    """
     runs.write.mode("append").parquet(history_path)
-    newest = first_per_key(spark.read.schema(runs.schema).parquet(history_path), [key], [-F.unix_micros(F.col(when).cast("timestamp")), *[F.col(c) for c in runs.columns if c not in (key, when)]])  # equal times: the smallest row, always the same
-    newest.write.mode("overwrite").parquet(latest_path)
+    version = latest_version(spark, latest_path) if stored(spark, latest_path) else 0
+    known = runs if not version else runs.unionByName(read_version(spark, latest_path, version).select(runs.columns))
+    rest = [c for c in runs.columns if c not in (key, when)]
+    newest = known.groupBy(key).agg(F.max(F.struct(when, *rest)).alias("_row")).select(key, "_row.*").select(runs.columns)
+    write_version(newest, latest_path, version + 1)
+
+
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written at a path."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
