@@ -48,25 +48,31 @@ def ask_questions(docs: DataFrame, questions: dict[str, Sequence[str]] = QUESTIO
     return docs.select("*", F.posexplode(asked).alias("question_no", "instruction"))
 
 
-def prompt_rows(asked: DataFrame, text_chars: int = 3000) -> DataFrame:
-    """Prompt text of each question; the model's input window is the cut."""
+def _window(text: Column | str, chars: int | None) -> Column:
+    """A text, whole unless the caller names the window of its model."""
+    text = F.col(text) if isinstance(text, str) else text
+    return text if chars is None else F.substring(text, 1, chars)
+
+
+def prompt_rows(asked: DataFrame, text_chars: int | None = None) -> DataFrame:
+    """Prompt text of each question."""
     prompt = F.concat(
-        F.lit("다음은 공시된 '"), F.col("label"), F.lit("' 문서입니다.\n\n[공시 본문]\n"), F.substring("text", 1, text_chars), F.lit("\n\n[질문]\n"),
+        F.lit("다음은 공시된 '"), F.col("label"), F.lit("' 문서입니다.\n\n[공시 본문]\n"), _window("text", text_chars), F.lit("\n\n[질문]\n"),
         F.col("instruction"))
     return asked.withColumn("prompt", prompt)
 
 
-def instruction_rows(answered: DataFrame, input_chars: int = 2000, min_answer: int = 20) -> DataFrame:
+def instruction_rows(answered: DataFrame, input_chars: int | None = None, min_answer: int = 20) -> DataFrame:
     """Instruction records of answers that are long enough."""
     answer = F.trim("answer")
     return answered.where(F.length(answer) >= min_answer).select(
-        F.col("instruction"), F.substring("text", 1, input_chars).alias("input"), answer.alias("output"), "label",
+        F.col("instruction"), _window("text", input_chars).alias("input"), answer.alias("output"), "label",
         F.col("rcept_no").cast("string").alias("_rcept_no"))
 
 
-def chat_rows(records: DataFrame, system: str, input_chars: int = 1500) -> DataFrame:
+def chat_rows(records: DataFrame, system: str, input_chars: int | None = None) -> DataFrame:
     """Chat-format training text."""
-    body = F.concat(F.lit("[공시 본문]\n"), F.substring("input", 1, input_chars), F.lit("\n\n[질문]\n"), F.col("instruction"))
+    body = F.concat(F.lit("[공시 본문]\n"), _window("input", input_chars), F.lit("\n\n[질문]\n"), F.col("instruction"))
     user = F.when(F.coalesce(F.col("input"), F.lit("")) != "", body).otherwise(F.col("instruction"))
     mark, end = (lambda who: F.lit(f"[|{who}|]")), F.lit("[|endofturn|]")
     return records.select(

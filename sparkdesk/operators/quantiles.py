@@ -1,7 +1,7 @@
 """Exact order statistics without gathering a group in one task.
 
-Equal values are counted before the shuffle; a histogram per group then says which narrow value
-range holds each wanted rank, and only those ranges are ordered.
+Equal values are counted before the shuffle; the counts are then added up along sorted ranges, whose bounds Spark takes
+from a sample, so ranges are even however the values are distributed.
 """
 
 from __future__ import annotations
@@ -9,46 +9,28 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkdesk.operators.ordered import SUM, running
 from sparkdesk.session import materialize
 
 Rank = Callable[[Column], Column]
 
 
-def values_at_ranks(df: DataFrame, groups: list[str], value: str, ranks: Sequence[Rank], buckets: int = 4096) -> DataFrame:
+def values_at_ranks(df: DataFrame, groups: list[str], value: str, ranks: Sequence[Rank]) -> DataFrame:
     """Values at 0-based ranks of each group: columns ``v0``, ``v1``, ... and the group size ``n``.
 
     Each rank is a function of the group size. A rank outside 0..n-1 gives null.
     """
     src = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     counts = src.groupBy(*groups, "_v").agg(F.count("*").alias("_n"))
-    bounds = counts.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("n"))
-    span = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    slot = F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets), F.lit(buckets - 1))
-    placed = counts.join(bounds, groups).select(*groups, "_v", "_n", F.coalesce(slot, F.lit(0)).alias("_b"))
-
-    per_bucket = placed.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
-    before = F.sum("_bn").over(W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
-    per_bucket = per_bucket.withColumn("_before", F.coalesce(before, F.lit(0)))
-
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("_q"), fn(F.col("n")).cast("bigint").alias("_r")) for i, fn in enumerate(ranks)
-    ])
-    targets = bounds.select(*groups, F.inline(wanted))
-    hits = targets.join(per_bucket, groups).where(
-        (F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_bn"))
-    ).select(*groups, "_q", "_b", (F.col("_r") - F.col("_before")).alias("_r"))
-
-    inside = W.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    narrowed = placed.join(hits.select(*groups, "_b").distinct(), [*groups, "_b"], "left_semi").withColumn(
-        "_from", F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    )
-    found = hits.join(narrowed, [*groups, "_b"]).where(
-        (F.col("_from") <= F.col("_r")) & (F.col("_r") < F.col("_from") + F.col("_n"))
-    ).groupBy(*groups).agg(*[F.max(F.when(F.col("_q") == i, F.col("_v"))).alias(f"v{i}") for i in range(len(ranks))])
-    return bounds.select(*groups, "n").join(found, groups, "left")
+    placed = running(counts, groups, ["_v"], {"_before": (SUM, F.col("_n"))}, before=True)
+    wanted = F.array(*[fn(F.col("n")).cast("bigint") for fn in ranks])
+    sizes = src.groupBy(*groups).agg(F.count("*").alias("n")).withColumn("_want", wanted)
+    here = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_n"))
+    found = placed.join(sizes, groups).where(F.exists("_want", here)).groupBy(*groups).agg(
+        *[F.max(F.when(here(F.col("_want")[i]), F.col("_v"))).alias(f"v{i}") for i in range(len(ranks))])
+    return sizes.drop("_want").join(found, groups, "left")
 
 
 def whole_table(column: str) -> Column:
@@ -56,8 +38,7 @@ def whole_table(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1))
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequence[float], names: Sequence[str],
-                    buckets: int = 4096) -> DataFrame:
+def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability, plus the count ``n``.
 
     With no groups the result has a single row.
@@ -68,7 +49,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: Sequenc
     ranks: list[Rank] = []
     for p in probs:
         ranks += [lambda n, f=place(p): F.floor(f(n)), lambda n, f=place(p): F.ceil(f(n))]
-    vals = values_at_ranks(src, keys, value, ranks, buckets)
+    vals = values_at_ranks(src, keys, value, ranks)
     cols = []
     for i, (p, name) in enumerate(zip(probs, names)):
         at = place(p)(F.col("n"))
@@ -103,7 +84,7 @@ def first_in_seeded_order(df: DataFrame, groups: list[str], key: str, size: Rank
     The cut-off value is found as an order statistic, so no group is sorted as a whole.
     """
     ranked = df.withColumn("_h", seeded_order(F.col(key), seed))
-    cut = values_at_ranks(ranked, groups, "_h", [lambda n: F.least(size(n), n) - 1], buckets=65536)
+    cut = values_at_ranks(ranked, groups, "_h", [lambda n: F.least(size(n), n) - 1])
     # one row per group, stored: its true size decides whether the join broadcasts it
     cut = materialize(cut.select(*groups, F.col("v0").cast("bigint").alias("_cut")), "cut")
     joined = ranked.join(cut, groups)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.cleaning import SUBTOTAL_NAMES, clean_number
+from sparkdesk.operators.ordered import number_rows
+from sparkdesk.session import materialize
 
 
 def melt_years(wide: DataFrame, key: str, years: Sequence[str], value: str) -> DataFrame:
@@ -59,15 +61,30 @@ def missing_periods(expected: DataFrame, stored: DataFrame, keys: list[str]) ->
     return expected.join(stored.select(*keys).distinct(), keys, "left_anti")
 
 
+_BITS = 63  # of a period bitmap's word
+
+
 def missing_combinations(df: DataFrame, entity: str, period: str) -> DataFrame:
-    """(entity, period) pairs that never occur.
+    """(entity, period) pairs that never occur, of all entities and periods that do.
 
-    The list of periods is one array (periods are few), exploded beside each entity: no cross join.
+    Periods are numbered; an entity's periods are bits of words, gathered by ``bit_or``. Only entities with too few bits
+    are looked at further: their words are held against the words of all periods, and only bits that are missing become
+    rows. So complete entities cost one counter and neither side is ever multiplied out. Null entities and periods count
+    as none.
     """
-    pairs = df.select(entity, period).distinct()
-    periods = pairs.agg(F.array_sort(F.collect_set(period)))
-    grid = pairs.select(entity).distinct().select(entity, F.explode(periods.scalar()).alias(period))
-    return grid.join(pairs, [entity, period], "left_anti")
+    known = df.select(F.col(entity).alias("_e"), F.col(period).alias("_p")).dropna()
+    periods = number_rows(known.select("_p").distinct().withColumn("_all", F.lit(0)), ["_all"], "_p", "_n")
+    at = F.col("_n") - 1
+    periods = materialize(periods.select("_p", F.floor(at / _BITS).cast("int").alias("_w"), (at % _BITS).cast("int").alias("_b")), "periods")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_b"))
+    words = periods.groupBy("_w").agg(F.bit_or(bit).alias("_full"))
+    total, last = periods.agg(F.count("*")).scalar(), periods.agg(F.max("_w")).scalar()
+    own = known.join(periods, "_p").groupBy("_e", "_w").agg(F.bit_or(bit).alias("_own"))
+    short = own.groupBy("_e").agg(F.sum(F.bit_count("_own")).alias("_seen")).where(F.col("_seen") < total)
+    spine = short.select("_e", F.explode(F.sequence(F.lit(0), last)).alias("_w")).join(own, ["_e", "_w"], "left").join(words, "_w")
+    gap = F.col("_full").bitwiseAND(F.bitwise_not(F.coalesce("_own", F.lit(0).cast("bigint"))))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(_BITS - 1)), lambda b: F.call_function("getbit", gap, b) == 1)
+    return spine.select("_e", "_w", F.explode(bits).alias("_b")).join(periods, ["_w", "_b"]).select(F.col("_e").alias(entity), F.col("_p").alias(period))
 
 
 def common_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkdesk.operators import clusters as K
 from sparkdesk.operators import panel as P
 from sparkdesk.plans.demand import r
-from sparkdesk.plans.panels import ASSIGNED, assigned
+from sparkdesk.plans.panels import ASSIGNED, SUPPLY, assigned, gas, income, people
 from sparkdesk.plans.registry import query
 from sparkdesk.plans.tables import PANEL_FULL
 
@@ -58,9 +58,8 @@ def _(t):
 
 @query("k03_kmeans_by_year")
 def _(t):
-    years = [1996, 2001]
-    return K.kmeans_by_slice(features(t), ["gas_supply_ratio", "total_households", "home_ratio", "total_resident_population"], years, "year", 4, 3).select(
-        "district", "year", "cluster")
+    return r(K.kmeans_by_slice(features(t), ["gas_supply_ratio", "total_households", "home_ratio", "total_resident_population"], "year").select(
+        "district", "year", "cluster", "inertia"))
 
 
 @query("k04_cluster_profile", f"""WITH {ASSIGNED} SELECT cluster, {', '.join(f'round(avg({f}), 4) AS {f}' for f in FEATS)}, count(*) AS record_count,
@@ -71,7 +70,7 @@ def _(t):
 
 @query("k05_elbow")
 def _(t):
-    return r(K.elbow(scaled(t), FEATS, range(2, 7), 3), 4)
+    return r(K.elbow(scaled(t), FEATS), 4)
 
 
 @query("k06_silhouette", f"WITH {_sil('true')} SELECT round(avg(silhouette), 6) AS silhouette, count(*) FILTER (WHERE silhouette < 0) AS negative, count(*) AS n FROM sil")
@@ -81,7 +80,7 @@ def _(t):
 
 @query("k06_best_k")
 def _(t):
-    return r(K.best_k(K.silhouette_by_k(scaled(t), "cell", FEATS, range(2, 5), 3)), 4)
+    return r(K.best_k(K.silhouette_by_k(scaled(t), "cell", FEATS)), 4)
 
 
 @query("k07_silhouette_rows", f"WITH {_sil('a.year = b.year')} SELECT year, {CELL} AS cell, cluster, round(silhouette, 6) AS silhouette FROM sil WHERE silhouette IS NOT NULL")
@@ -102,6 +101,24 @@ def _(t):
     return K.correlation_matrix(t.panel_full, FEATS)
 
 
+_RAW = ("gas_supply", "avg_income", "total_pop", "total_households")
+_DERIVED = ("gas_supply_per_pop", "gas_supply_ratio", "pop_per_household", "income_per_household")
+
+
+def _sets(features, name):
+    return " UNION ALL ".join(f"SELECT '{name}' AS features, '{a}' AS row, '{b}' AS col, round(corr({a}, {b}), 3) AS corr FROM m" for a in features for b in features)
+
+
+@query("k08_correlation_sets", f"""WITH {SUPPLY}, m AS (SELECT *, gas_supply / CAST(total_pop AS DOUBLE) AS gas_supply_per_pop, gas_supply / CAST(total_households AS DOUBLE) AS gas_supply_ratio,
+    total_pop / CAST(total_households AS DOUBLE) AS pop_per_household, avg_income / CAST(total_households AS DOUBLE) AS income_per_household
+    FROM gas JOIN income USING (district, year) JOIN people USING (district, year)
+    WHERE total_pop > 0 AND total_households > 0 AND avg_income > 0 AND gas_supply >= 0) {_sets(_RAW, "raw")} UNION ALL {_sets(_DERIVED, "derived")}""")
+def _(t):
+    every = P.add_supply_features(P.valid_supply(P.merge_supply(gas(t), income(t), people(t))))
+    one = lambda features, name: K.correlation_matrix(every, features, 3).withColumn("features", F.lit(name))
+    return one(_RAW, "raw").unionByName(one(_DERIVED, "derived"))
+
+
 @query("k09_cluster_members", f"""WITH {ASSIGNED} SELECT a.district, a.year, a.cluster, m.members FROM assigned a JOIN
   (SELECT year, cluster, string_agg(district, ',' ORDER BY district) AS members FROM assigned GROUP BY 1, 2) m ON m.year = a.year AND m.cluster = a.cluster""")
 def _(t):
@@ -120,12 +137,12 @@ def _(t):
 
 @query("k11_subsample_stability")
 def _(t):
-    return r(K.subsample_stability(scaled(t), "cell", FEATS, 3, repeats=4, restarts=2))
+    return r(K.subsample_stability(scaled(t), "cell", FEATS, 6))
 
 
 @query("k12_seed_consistency")
 def _(t):
-    return r(K.seed_consistency(scaled(t), "cell", FEATS, 3, seeds=range(4), restarts=4))
+    return r(K.seed_consistency(scaled(t), "cell", FEATS, 6))
 
 
 @query("k13_principal_components")

@@ -43,13 +43,13 @@ def _(t):
     return Z.ask_questions(kinded(t)).select("rcept_no", "label", "question_no", "instruction")
 
 
-@query("x15_prompt_rows", f"""WITH {ASKED} SELECT rcept_no, question_no, '다음은 공시된 ''' || label || ''' 문서입니다.' || chr(10) || chr(10) || '[공시 본문]' || chr(10) || substr(text, 1, 3000)
+@query("x15_prompt_rows", f"""WITH {ASKED} SELECT rcept_no, question_no, '다음은 공시된 ''' || label || ''' 문서입니다.' || chr(10) || chr(10) || '[공시 본문]' || chr(10) || text
   || chr(10) || chr(10) || '[질문]' || chr(10) || instruction AS prompt FROM asked""")
 def _(t):
     return Z.prompt_rows(Z.ask_questions(kinded(t))).select("rcept_no", "question_no", "prompt")
 
 
-ANSWERED = f"""{ASKED}, ins AS (SELECT instruction, substr(text, 1, 2000) AS input, trim(a) AS output, label, CAST(rcept_no AS VARCHAR) AS _rcept_no
+ANSWERED = f"""{ASKED}, ins AS (SELECT instruction, text AS input, trim(a) AS output, label, CAST(rcept_no AS VARCHAR) AS _rcept_no
   FROM (SELECT *, string_split(text, chr(10))[1 + question_no] AS a FROM asked) WHERE length(trim(a)) >= 20)"""
 
 
@@ -64,7 +64,7 @@ def _(t):
     return answered(t)
 
 
-@query("x16_chat_rows", f"""WITH {ANSWERED} SELECT _rcept_no, instruction, '[|system|]S[|endofturn|][|user|]' || '[공시 본문]' || chr(10) || substr(input, 1, 1500) || chr(10) || chr(10) || '[질문]' || chr(10)
+@query("x16_chat_rows", f"""WITH {ANSWERED} SELECT _rcept_no, instruction, '[|system|]S[|endofturn|][|user|]' || '[공시 본문]' || chr(10) || input || chr(10) || chr(10) || '[질문]' || chr(10)
   || instruction || '[|endofturn|][|assistant|]' || output || '[|endofturn|]' AS chat FROM ins""")
 def _(t):
     return Z.chat_rows(answered(t), "S").select("_rcept_no", "instruction", "chat")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.calendar import season
+from sparkdesk.functions import tails as L
 from sparkdesk.operators import hypotheses as H
 from sparkdesk.plans.demand import r
 from sparkdesk.plans.panels import ANNUAL, SEASON, annual
@@ -95,6 +96,36 @@ def _(t):
     return r(r(H.normality(seasonal(t), "season", "value"), 5, "skew", "kurt", "p"), 4, "jb")
 
 
+def _horner(x, factors):
+    out = repr(factors[-1])
+    for f in reversed(factors[:-1]):
+        out = f"({out} * {x} + {f!r})"
+    return out
+
+
+def _quantile_sql(p):
+    ratio = lambda x, of: f"({_horner(x, of[0])} / {_horner(x, of[1])})"
+    root = f"sqrt(-ln(least({p}, 1 - {p})))"
+    tail = f"CASE WHEN {root} <= 5.0 THEN {ratio(f'({root} - 1.6)', L.QUANTILE_TAIL)} ELSE {ratio(f'({root} - 5.0)', L.QUANTILE_FAR)} END"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))', L.QUANTILE_MIDDLE)} ELSE sign({p} - 0.5) * {tail} END"
+
+
+@query("k20_shapiro_w", f"""WITH {SEASONAL}, i AS (SELECT season, value, row_number() OVER (PARTITION BY season ORDER BY value) AS i, count(*) OVER (PARTITION BY season) AS n,
+    avg(value) OVER (PARTITION BY season) AS mean FROM seasonal WHERE value IS NOT NULL),
+  q AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM i), m AS (SELECT season, n, i, value - mean AS x, {_quantile_sql("p")} AS m FROM q),
+  s AS (SELECT season, n, sum(m * m) AS mm, sum(x * x) AS ss, sum(CASE WHEN i > 2 AND i <= n - 2 THEN m * x ELSE 0 END) AS mid, max(m) AS m1, max(CASE WHEN i = n - 1 THEN m END) AS m2,
+    max(CASE WHEN i = n THEN x END) - max(CASE WHEN i = 1 THEN x END) AS wide, max(CASE WHEN i = n - 1 THEN x END) - max(CASE WHEN i = 2 THEN x END) AS inside FROM m GROUP BY 1, 2),
+  a AS (SELECT *, {_horner("(1 / sqrt(n))", H.SW_LAST)} + m1 / sqrt(mm) AS a1, {_horner("(1 / sqrt(n))", H.SW_NEXT)} + m2 / sqrt(mm) AS a2 FROM s)
+  SELECT season, n, round(pow(a1 * wide + a2 * inside + mid / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / ss, 6) AS w FROM a""")
+def _(t):
+    return r(H.shapiro_wilk(seasonal(t), "season", "value", with_p=False))
+
+
+@query("k20_shapiro_p")
+def _(t):
+    return r(H.shapiro_wilk(seasonal(t), "season", "value"))
+
+
 YEARLY = f"{MEASURE}, {ANNUAL}, yearly AS (SELECT year, avg(value) AS value FROM annual GROUP BY 1)"
 
 

@@ -15,7 +15,7 @@ from sparkdesk.plans.demand import r
 from sparkdesk.plans.registry import query
 from sparkdesk.plans.tables import ACCOUNTS, DAILY, FILINGS, MEASURE, PANEL, PANEL_FULL, VISITS, cents
 
-YEARS = list(range(1996, 2002))
+FIRST, LAST = "(SELECT min(year) FROM panel)", "(SELECT max(year) FROM panel)"
 KINDS = ("home", "public", "service", "industry")
 FEATS = P.FEATURES
 GROUPED = "CASE WHEN {0} IS NULL THEN '-' ELSE format('{{:,}}', {0}) END"
@@ -25,16 +25,29 @@ SUPPLY = f"""{PANEL}, income AS (
   SELECT n_name AS district, CAST(year(o_orderdate) AS BIGINT) AS year,
     CAST(floor(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / CAST(count(*) AS DOUBLE)) AS BIGINT) - 20000000 AS avg_income
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
-  WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2),
+  WHERE year(o_orderdate) < (SELECT max(year) FROM panel) GROUP BY 1, 2),
   gas AS (SELECT district, year, gas_supply FROM panel),
-  people AS (SELECT district, year, total_resident_population AS total_pop, total_households FROM panel WHERE year > 1996)"""
+  people AS (SELECT district, year, total_resident_population AS total_pop, total_households FROM panel WHERE year > {FIRST})"""
+
+
+def years_of(t):
+    """The years of the panel, for the heads of wide tables."""
+    return [r[0] for r in t.panel.select("year").distinct().orderBy("year").collect()]
+
+
+def first_year(t):
+    return t.panel.agg(F.min("year")).scalar()
+
+
+def last_year(t):
+    return t.panel.agg(F.max("year")).scalar()
 
 
 def income(t):
-    """Mean order value less a constant, so that some incomes are not positive; no rows for 2001."""
+    """Mean order value less a constant, so that some incomes are not positive; none are known for the last year yet."""
     year = F.year("o_orderdate")
     per_customer = (
-        t.orders.where(year.between(1996, 2000)).groupBy("o_custkey", year.cast("bigint").alias("year"))
+        t.orders.where(year < last_year(t)).groupBy("o_custkey", year.cast("bigint").alias("year"))
         .agg(F.sum(cents("o_totalprice")).alias("c"), F.count("*").alias("n"))
     )
     cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
@@ -49,17 +62,18 @@ def gas(t):
 
 
 def people(t):
-    return t.panel.where("year > 1996").select(
+    return t.panel.where(F.col("year") > first_year(t)).select(
         "district", "year", F.col("total_resident_population").alias("total_pop"), "total_households")
 
 
 def wide_supply(t):
     """Published style: one text column per year, grouped digits, padded names and a subtotal row."""
-    body = R.widen(t.panel, ["district"], "year", YEARS, "gas_supply")
-    total = body.agg(*[F.sum(str(y)).alias(str(y)) for y in YEARS]).select(F.lit("소계").alias("district"), *map(str, YEARS))
+    years = years_of(t)
+    body = R.widen(t.panel, ["district"], "year", years, "gas_supply")
+    total = body.agg(*[F.sum(str(y)).alias(str(y)) for y in years]).select(F.lit("소계").alias("district"), *map(str, years))
     rows = body.unionByName(total)
     return rows.select(F.concat(F.lit(" "), "district", F.lit("  ")).alias("district"),
-                       *[F.coalesce(F.format_number(F.col(str(y)), 0), F.lit("-")).alias(f"{y}년") for y in YEARS])
+                       *[F.coalesce(F.format_number(F.col(str(y)), 0), F.lit("-")).alias(f"{y}년") for y in years])
 
 
 def assigned(t):
@@ -77,27 +91,27 @@ def neighbours(t):
     """(year, district_a, district_b): each nation with the next one by key."""
     a = t.nation.select("n_nationkey", F.col("n_name").alias("district_a"))
     b = t.nation.select((F.col("n_nationkey") - 1).alias("n_nationkey"), F.col("n_name").alias("district_b"))
-    years = F.explode(F.array(*[F.lit(y).cast("bigint") for y in YEARS]))
+    years = F.explode(F.sequence(first_year(t), last_year(t)))
     return a.join(b, "n_nationkey").select(years.alias("year"), "district_a", "district_b")
 
 
 PAIRS = """pairs AS (SELECT y AS year, a.n_name AS district_a, b.n_name AS district_b
-  FROM nation a JOIN nation b ON b.n_nationkey = a.n_nationkey + 1, (SELECT unnest(range(1996, 2002)) AS y))"""
+  FROM nation a JOIN nation b ON b.n_nationkey = a.n_nationkey + 1, (SELECT DISTINCT year AS y FROM panel))"""
 
 
 # --- reshaping and cleaning ---------------------------------------------------------------------
-@query("p05_melt_years", f"WITH {PANEL} SELECT district, year, CAST(gas_supply AS DOUBLE) AS gas_supply FROM panel WHERE true")
+@query("p05_melt_years", f"""WITH {PANEL} SELECT district, year, CAST(gas_supply AS DOUBLE) AS gas_supply FROM panel UNION ALL
+  SELECT d.district, y.year, 0.0 FROM (SELECT DISTINCT district FROM panel) d CROSS JOIN (SELECT DISTINCT year FROM panel) y
+  WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.district = d.district AND p.year = y.year)""")
 def _(t):
     wide = R.drop_subtotals(wide_supply(t), "district")
-    return R.melt_years(wide, "district", [f"{y}년" for y in YEARS], "gas_supply").where("gas_supply > 0")
-
-
-MONTHS = [f"{y}. {m:02d}월" for y in range(1995, 2002) for m in range(1, 13)]
+    return R.melt_years(wide, "district", [c for c in wide.columns if c.endswith("년")], "gas_supply")  # a dash is a zero
 
 
 def month_wide(t):
     named = t.measure.withColumn("ym", F.format_string("%d. %02d월", "year", "month"))
-    return R.widen(named, ["district"], "ym", MONTHS, "value")
+    months = [r[0] for r in named.select("ym").distinct().orderBy("ym").collect()]
+    return R.widen(named, ["district"], "ym", months, "value")
 
 
 @query("p06_melt_months", f"WITH {MEASURE} SELECT district, printf('%d. %02d월', year, month) AS ym, round(value, 6) AS value FROM measure")
@@ -108,17 +122,20 @@ def _(t):
 @query("p07_melt_blocks", f"""WITH {PANEL} SELECT district, year, CAST(home_usage AS DOUBLE) AS home_usage, CAST(public_usage AS DOUBLE) AS public_usage,
   CAST(service_usage AS DOUBLE) AS service_usage, CAST(industry_usage AS DOUBLE) AS industry_usage FROM panel""")
 def _(t):
-    wide = t.panel.groupBy("district").pivot("year", YEARS).agg(
+    years = years_of(t)
+    wide = t.panel.groupBy("district").pivot("year", years).agg(
         *[F.format_number(F.first(c), 0).alias(c) for c in P.USAGE])
-    blocks = {y: [f"{y}_{c}" for c in P.USAGE] for y in YEARS}
+    blocks = {y: [f"{y}_{c}" for c in P.USAGE] for y in years}
     return R.melt_blocks(wide, "district", blocks, P.USAGE).dropna()
 
 
-@query("p08_widen_first", f"""WITH {PANEL} SELECT district, {", ".join(f"max(CASE WHEN year = {y} THEN gas_supply END) AS y{y}" for y in YEARS)}
-  FROM panel GROUP BY 1""")
+@query("p08_widen_first", f"""WITH {PANEL} SELECT d.district, y.year, p.gas_supply FROM (SELECT DISTINCT district FROM panel) d
+  CROSS JOIN (SELECT DISTINCT year FROM panel) y LEFT JOIN panel p ON p.district = d.district AND p.year = y.year""")
 def _(t):
-    wide = R.widen(t.panel, ["district"], "year", YEARS, "gas_supply")
-    return wide.select("district", *[F.col(str(y)).alias(f"y{y}") for y in YEARS])
+    years = years_of(t)
+    wide = R.widen(t.panel, ["district"], "year", years, "gas_supply")  # compared cell by cell, empty ones too
+    cells = F.array(*[F.struct(F.lit(y).cast("bigint").alias("year"), F.col(str(y)).alias("gas_supply")) for y in years])
+    return wide.select("district", F.inline(cells))
 
 
 @query("p09_clean_number", """SELECT o_orderkey, floor(o_totalprice) AS plain,
@@ -162,12 +179,12 @@ def _(t):
 
 
 @query("p13_quarter_code", """SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(quarter(o_orderdate) AS BIGINT) AS quarter, count(*) AS n
-  FROM orders WHERE quarter(o_orderdate) = 4 AND year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2""")
+  FROM orders WHERE quarter(o_orderdate) = 4 GROUP BY 1, 2""")
 def _(t):
     code = F.concat(F.year("o_orderdate").cast("string"), F.quarter("o_orderdate").cast("string")).alias("code")
     year, quarter = C.quarter_code("code")
     rows = t.orders.select(code).select(year.alias("year"), quarter.alias("quarter"))
-    return rows.where("quarter = 4 AND year BETWEEN 1996 AND 2000").groupBy("year", "quarter").agg(F.count("*").alias("n"))
+    return rows.where("quarter = 4").groupBy("year", "quarter").agg(F.count("*").alias("n"))
 
 
 @query("p14_period_text", f"WITH {MEASURE} SELECT district, year, month FROM measure")
@@ -224,10 +241,10 @@ def _(t):
 
 
 @query("p26_number_text", f"""WITH {PANEL_FULL} SELECT district, year, format('{{:,}}', total_usage) || 'MWh' AS usage_text,
-  printf('%.4f', round_even(home_ratio, 4)) AS ratio_text, {GROUPED.format("CASE WHEN year = 1996 THEN NULL ELSE gas_supply END")} AS gap_text FROM panel_full""")
+  printf('%.4f', round_even(home_ratio, 4)) AS ratio_text, {GROUPED.format("CASE WHEN year = (SELECT min(year) FROM panel) THEN NULL ELSE gas_supply END")} AS gap_text FROM panel_full""")
 def _(t):
     return t.panel_full.select("district", "year", N.grouped("total_usage", "MWh").alias("usage_text"), N.ratio_text("home_ratio").alias("ratio_text"),
-                               N.grouped(F.when(F.col("year") != 1996, F.col("gas_supply"))).alias("gap_text"))
+                               N.grouped(F.when(F.col("year") != first_year(t), F.col("gas_supply"))).alias("gap_text"))
 
 
 _CAT = ", ".join(f"('{k}', '{l}', '{u}')" for k, l, u in PANEL_METRICS)
@@ -254,12 +271,12 @@ def _(t):
 
 # --- joins and set operations ---------------------------------------------------------------------
 @query("j01_build_panel", f"""WITH {PANEL} SELECT p.district, p.year, p.total_resident_population, p.total_households, p.gas_supply,
-  CASE WHEN p.year >= 1998 THEN p.gas_supply END AS register_total, p.home_usage, p.public_usage, p.service_usage, p.industry_usage,
-  round(p.gas_supply / CAST(p.total_households AS DOUBLE), 6) AS gas_supply_ratio FROM panel p WHERE p.year <> 2000""")
+  CASE WHEN p.year > {FIRST} THEN p.gas_supply END AS register_total, p.home_usage, p.public_usage, p.service_usage, p.industry_usage,
+  round(p.gas_supply / CAST(p.total_households AS DOUBLE), 6) AS gas_supply_ratio FROM panel p WHERE p.year <> {LAST}""")
 def _(t):
     pop = t.panel.select("district", "year", "total_resident_population", "total_households")
-    register = t.panel.where("year >= 1998").select("district", "year", F.col("gas_supply").alias("register_total"))
-    electricity = t.panel.where("year <> 2000").select("district", "year", *P.USAGE)
+    register = t.panel.where(F.col("year") > first_year(t)).select("district", "year", F.col("gas_supply").alias("register_total"))
+    electricity = t.panel.where(F.col("year") != last_year(t)).select("district", "year", *P.USAGE)
     return P.build_panel(pop, gas(t), register, electricity)
 
 
@@ -269,19 +286,19 @@ def _(t):
     return P.merge_supply(gas(t), income(t), people(t), 1999)
 
 
-ANNUAL = """annual AS (SELECT district, year, avg(value) AS value FROM measure WHERE year BETWEEN 1996 AND 2001 GROUP BY 1, 2)"""
+ANNUAL = """annual AS (SELECT district, year, avg(value) AS value FROM measure GROUP BY 1, 2)"""
 
 
 def annual(t):
-    return t.measure.where("year BETWEEN 1996 AND 2001").groupBy("district", "year").agg(F.avg("value").alias("value"))
+    return t.measure.groupBy("district", "year").agg(F.avg("value").alias("value"))
 
 
 @query("j03_attach_context", f"""WITH {MEASURE}, {ANNUAL}, {PANEL_FULL} SELECT a.district, a.year, round(a.value, 6) AS value, g.home_usage / 1000000.0 AS green,
-  k.service_ratio AS park FROM annual a LEFT JOIN (SELECT * FROM panel_full WHERE year > 1996) g USING (district, year)
-  LEFT JOIN (SELECT * FROM panel_full WHERE year < 2001) k USING (district, year)""")
+  k.service_ratio AS park FROM annual a LEFT JOIN (SELECT * FROM panel_full WHERE year > {FIRST}) g USING (district, year)
+  LEFT JOIN (SELECT * FROM panel_full WHERE year < {LAST}) k USING (district, year)""")
 def _(t):
-    green = t.panel_full.where("year > 1996").select("district", "year", (F.col("home_usage") / 1e6).alias("green"))
-    park = t.panel_full.where("year < 2001").select("district", "year", F.col("service_ratio").alias("park"))
+    green = t.panel_full.where(F.col("year") > first_year(t)).select("district", "year", (F.col("home_usage") / 1e6).alias("green"))
+    park = t.panel_full.where(F.col("year") < last_year(t)).select("district", "year", F.col("service_ratio").alias("park"))
     return r(P.attach_context(annual(t), green, park), 6, "value")
 
 
@@ -331,10 +348,14 @@ def _(t):
     return R.missing_combinations(t.visits.select("station", F.year("use_ymd").cast("bigint").alias("year")), "station", "year")
 
 
-@query("j09_panel_gaps", f"""WITH {PANEL} SELECT s.district, y.year FROM (SELECT DISTINCT district FROM panel) s CROSS JOIN (SELECT DISTINCT year FROM panel) y
-  WHERE (s.district, y.year) NOT IN (SELECT district, year FROM panel)""")
+@query("j09_district_days", """WITH c AS (SELECT DISTINCT n_name AS district, CAST(o_orderdate AS DATE) AS day FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
+  SELECT s.district, strftime(y.day, '%Y-%m-%d') AS day FROM (SELECT DISTINCT district FROM c) s CROSS JOIN (SELECT DISTINCT day FROM c) y
+  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.district = s.district AND c.day = y.day)""")
 def _(t):
-    return R.missing_combinations(t.panel, "district", "year")
+    cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")).join(
+        t.nation.select("n_nationkey", F.col("n_name").alias("district")), "n_nationkey")
+    days = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day")).join(cust, "o_custkey")
+    return R.missing_combinations(days, "district", "day").select("district", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 @query("j16_union_frames", f"""WITH {PANEL} SELECT 'home' AS kind, district, year, home_usage AS usage FROM panel
@@ -381,9 +402,9 @@ def _(t):
 
 
 @query("j23_attach_clusters", f"""WITH {ASSIGNED} SELECT p.district, p.year, p.home_ratio, a.cluster FROM panel_full p
-  LEFT JOIN (SELECT * FROM assigned WHERE year < 2001) a USING (district, year)""")
+  LEFT JOIN (SELECT * FROM assigned WHERE year < {LAST}) a USING (district, year)""")
 def _(t):
-    return P.attach_clusters(t.panel_full, assigned(t).where("year < 2001")).select("district", "year", "home_ratio", "cluster")
+    return P.attach_clusters(t.panel_full, assigned(t).where(F.col("year") < last_year(t))).select("district", "year", "home_ratio", "cluster")
 
 
 # --- aggregates -----------------------------------------------------------------------------------
@@ -579,15 +600,15 @@ LABEL_CASE = """CASE WHEN industry_ratio >= 0.10 THEN '산업·서비스 혼재
 
 def shifted(t):
     """Shares moved so that every naming rule is reached by some cell."""
-    k = (F.col("year") - 1996) / 5.0
+    k = F.col("year") % 7 / 6.0
     return assigned(t).select(
         "district", "year", "cluster", (F.col("home_ratio") + 0.1 * k).alias("home_ratio"), "public_ratio",
         (F.col("service_ratio") + 0.6 * k).alias("service_ratio"), F.greatest(F.col("industry_ratio") - 0.1, F.lit(0.0)).alias("industry_ratio"),
         (F.col("total_resident_population") * 10000).alias("total_resident_population"))
 
 
-SHIFTED = """shifted AS (SELECT district, year, cluster, home_ratio + 0.1 * ((year - 1996) / 5.0) AS home_ratio, public_ratio,
-  service_ratio + 0.6 * ((year - 1996) / 5.0) AS service_ratio, greatest(industry_ratio - 0.1, 0.0) AS industry_ratio,
+SHIFTED = """shifted AS (SELECT district, year, cluster, home_ratio + 0.1 * (year % 7 / 6.0) AS home_ratio, public_ratio,
+  service_ratio + 0.6 * (year % 7 / 6.0) AS service_ratio, greatest(industry_ratio - 0.1, 0.0) AS industry_ratio,
   total_resident_population * 10000 AS total_resident_population FROM assigned)"""
 
 

@@ -28,7 +28,7 @@ def test_quantiles_with_a_hot_value(spark):
     vals = np.concatenate([np.full(4000, 7.0), rng.lognormal(1, 2, 3000), -rng.lognormal(1, 2, 3001)])
     df = spark.createDataFrame([(("hot" if i % 3 else "b"), float(v)) for i, v in enumerate(vals)], "g string, v double")
     for groups in ([], ["g"]):
-        got = Q.exact_quantiles(df, groups, "v", [0.01, 0.25, 0.5, 0.9, 1.0], list("abcde"), buckets=16).collect()
+        got = Q.exact_quantiles(df, groups, "v", [0.01, 0.25, 0.5, 0.9, 1.0], list("abcde")).collect()
         for r in got:
             mine = [float(v) for i, v in enumerate(vals) if not groups or ("hot" if i % 3 else "b") == r.g]
             assert [r[c] for c in "abcde"] == pytest.approx(list(np.quantile(mine, [0.01, 0.25, 0.5, 0.9, 1.0])))
@@ -75,7 +75,77 @@ def test_kmeans_finds_blobs_and_silhouette_blocks_agree(spark):
     scores = [K.silhouette_score(K.silhouette_rows(out, "id", ["x", "y"], blocks=b)).first().silhouette for b in (1, 4)]
     assert scores[0] == pytest.approx(scores[1]) and scores[0] > 0.7
     report = K.seed_consistency(K.scale(df, ["x", "y"]), "id", ["x", "y"], 3, seeds=range(2), restarts=2).first()
-    assert report.max == pytest.approx(1.0)
+    assert report.max == pytest.approx(1.0) and report.runs == 2
+    report = K.subsample_stability(K.scale(df, ["x", "y"]), "id", ["x", "y"], 3, repeats=12, restarts=3).first()
+    assert report.runs == 12 and report.mean > 0.95 and report.grade == "very stable"
+    by_k = {r.k: r for r in K.elbow(K.scale(df, ["x", "y"]), ["x", "y"], range(2, 6), 4).collect()}
+    assert [by_k[k].inertia for k in range(2, 6)] == sorted((by_k[k].inertia for k in range(2, 6)), reverse=True)
+    assert max(by_k, key=lambda k: by_k[k].fast_silhouette) == 3
+    assert K.best_k(K.silhouette_by_k(K.scale(df, ["x", "y"]), "id", ["x", "y"], range(2, 6), 4)).first().best_k == 3
+
+
+def test_joint_runs_equal_lloyd_by_hand(spark):
+    from sparkdesk.operators import kmeans as J
+
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((240, 2)) + rng.integers(0, 3, 240)[:, None] * 4
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, x double, y double").repartition(4)
+    runs = [J.Run(3, 0), J.Run(4, 1), J.Run(2, 2)]
+    part = F.when(F.col("id") % 2 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = J.with_runs(df, part).cache()
+    fits = J.fit_runs(rows, ["x", "y"], runs, "id")
+    for i, (run, fit) in enumerate(zip(runs, fits)):
+        mine = x[::2] if i != 1 else x
+        at = ((mine[:, None] - fit.centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        assert len(fit.centres) == run.k and np.allclose(fit.centres, [mine[at == c].mean(axis=0) for c in range(run.k)])  # a fixed point
+        assert fit.cost == pytest.approx(((mine - fit.centres[at]) ** 2).sum()) and fit.sizes.tolist() == np.bincount(at).tolist()
+        labels = {r.id: r.cluster for r in J.labelled(rows, ["x", "y"], fits, [i]).collect()}
+        assert [labels[k] for k in sorted(labels)] == at.tolist()
+
+
+def test_number_of_jobs_does_not_follow_the_years(spark):
+    rng = np.random.default_rng(2)
+    make = lambda years: spark.createDataFrame([(y, float(rng.normal(c * 9)), float(rng.normal())) for y in range(years) for c in range(3) for _ in range(8)], "year int, x double, y double")
+    seen = []
+    for years in (2, 9):
+        spark.sparkContext.setJobGroup(f"years{years}", "")
+        out = K.kmeans_by_slice(make(years), ["x", "y"], "year", 3, 2)
+        assert out.count() == years * 24 and out.groupBy("year").agg(F.countDistinct("cluster").alias("k")).where("k <> 3").count() == 0
+        seen.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"years{years}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert seen[1] < 2 * seen[0]
+
+
+def test_a_narrow_range_of_values_stays_spread(spark, monkeypatch):
+    from sparkdesk.operators import ordered
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    seen = []
+    whole = ordered.sorted_ranges
+    monkeypatch.setattr(ordered, "sorted_ranges", lambda *a, **k: (seen.append(whole(*a, **k)), seen[-1])[1])
+    df = spark.range(20000).selectExpr("CASE WHEN id < 2 THEN 1e12 * (id * 2 - 1) ELSE id * 1e-9 END AS v")
+    got = Q.exact_quantiles(df, [], "v", [0.5, 1.0], ["m", "top"]).first()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got.m == pytest.approx(float(np.median([-1e12, 1e12, *[i * 1e-9 for i in range(2, 20000)]])), rel=1e-12) and got.top == 1e12
+    sizes = [r["count"] for r in seen[0].groupBy("_range").count().collect()]
+    assert max(sizes) < 20000 / 3
+
+
+def test_shapiro_wilk_published_examples(spark):
+    import statistics
+
+    from sparkdesk.functions.tails import normal_quantile
+
+    ps = [1e-300, 1e-12, 0.001, 0.07, 0.0751, 0.3, 0.5, 0.7, 0.93, 0.999]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p"))).collect()]
+    assert got[1:] == pytest.approx([statistics.NormalDist().inv_cdf(p) for p in ps[1:]], rel=1e-13, abs=1e-15) and got[0] == pytest.approx(-37.0471, abs=1e-3)
+    examples = {"men": [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236], "ten": range(1, 11), "same": [3, 3, 3, 3], "two": [1, 2], "line": [1, 2, 3]}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in examples.items() for v in vs] + [("ten", None)], "g string, v double")
+    got = {r.g: (r.w, r.p) for r in H.shapiro_wilk(df, "g", "v").collect()}
+    assert set(got) == {"men", "ten", "same", "line"} and got["same"] == (None, None)
+    assert got["men"][0] == pytest.approx(0.7888, abs=5e-5) and got["men"][1] == pytest.approx(0.0067, abs=5e-5)
+    assert got["ten"][0] == pytest.approx(0.9702, abs=5e-5) and got["ten"][1] == pytest.approx(0.8924, abs=5e-4)
+    assert got["line"][0] == pytest.approx(1.0)
 
 
 def test_anova_and_t_test(spark):
