@@ -1,13 +1,13 @@
 """Global shuffle into shards in two passes.
 
-Pass one scatters the records over buckets that fit in a task's memory: a seeded hash of id and text picks the bucket, so
+Pass one scatters the records over buckets that fit in a task's memory: a seeded hash of the record picks the bucket, so
 buckets are alike in size however sources or copies are spread. Pass two orders each bucket with a seeded Fisher-Yates
 shuffle. The buckets one after another are a random order of all records; shard s is the s-th of equal stretches of
 it, so the counts of two shards differ by one at most (law ``rows``). Nothing passes the driver but counts.
 
 Rows: a null or empty text has no bytes; a null id is an id like any other. Copies of a text with different ids scatter
-like other records. Fully equal records are interchangeable: where more than ``HOT_COPIES`` of them exist they are dealt
-over all buckets. More shards than records leave shards empty; an empty table gives an empty result. Other columns travel along;
+like other records. Fully equal records are interchangeable: where there are more than ``HOT_COPIES`` of them, or more
+bytes than a quarter of a bucket, they are dealt over all buckets. More shards than records leave shards empty; an empty table gives an empty result. Other columns travel along;
 columns of the names ``shard`` and ``slot`` are replaced.
 """
 
@@ -40,15 +40,17 @@ def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
 def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text, …) with ``shard`` (0 …) and ``slot`` (0 … in its shard)."""
     docs = docs.drop("shard", "slot")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_content"))
-    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
-    total = docs.agg(F.count("*"), F.sum(size)).first()
+    hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.lit(seed), *hashed).alias("_content"))
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)) + 64
+    total = rows.agg(F.count("*"), F.sum(size)).first()
     buckets = max(1, -(-(total[1] or 0) // bucket_bytes))
-    hot = rows.groupBy("_content").count().where(F.col("count") > HOT_COPIES).select("_content")
-    hot = materialize(hot, "shards-hot").withColumn("_many", F.lit(True))
-    rows = rows.join(hot, "_content", "left")
+    copies = rows.groupBy("_content").agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    hot = materialize(copies.where((F.col("n") > HOT_COPIES) | ((F.col("bytes") > bucket_bytes / 4) & (F.col("n") > 1))).select("_content"), "shards-hot")
+    rows = rows.join(hot.withColumn("_many", F.lit(True)), "_content", "left")
     spread = F.when(F.col("_many"), F.xxhash64("_content", F.monotonically_increasing_id())).otherwise(F.col("_content"))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets))).drop("_many")
+    # written once: a copy dealt by its place stays in its bucket, whatever is read or lost later
+    rows = materialize(rows.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets))).drop("_many"), "shards-rows")
 
     group = F.floor(F.col("_bucket") / 1024)  # sums of sums, so that no task reads more than a share of the buckets
     counts = materialize(rows.groupBy("_bucket").agg(F.count("*").alias("n")), "shards-counts").withColumn("g", group)

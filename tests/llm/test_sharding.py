@@ -46,3 +46,17 @@ def test_edge_rows(spark, frame, tmp_path, monkeypatch):
     assert sorted(r["shard"] for r in shuffled(frame(["a", "b"]), 24).collect()) == [0, 1]
     write_shards(frame(["a", "b", "c"]), str(tmp_path / "out"), 2)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_hot_copies_keep_their_buckets_when_the_input_is_dealt_anew(frame, monkeypatch):
+    monkeypatch.setattr("sparkdesk.llm.sharding.HOT_COPIES", 50)
+    df = frame([f"text {i}" for i in range(300)], [(5000, "copy", "en", "s", 4)] * 1200).repartition(8)  # places change with every run
+    got = shuffled(df, 24, bucket_bytes=2048).collect()
+    counts = Counter(r["shard"] for r in got)
+    assert len(got) == 1500 and set(counts) == set(range(24)) and set(counts.values()) <= {62, 63}
+    assert all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n)) for s, n in counts.items())
+
+
+def test_copies_of_a_long_text_are_dealt_by_bytes(frame):
+    got = shuffled(frame([], [(1, "x" * 5000, "en", "s", 5000)] * 40 + [(2, "short", "en", "s", 5)]), 3, bucket_bytes=1 << 15)
+    assert got.count() == 41 and max(got.groupBy("shard").count().toPandas()["count"]) == 14
