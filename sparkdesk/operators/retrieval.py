@@ -12,8 +12,6 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +19,8 @@ from pyspark.sql.types import StructField, StructType, DoubleType
 
 from sparkdesk.functions.text import tokens
 from sparkdesk.operators.dedup import first_per_key
+from sparkdesk.operators.inverted import InvertedLists
+from sparkdesk.operators.postings import Postings
 
 QUERY_LIMIT = 2000       # queries that may travel with every task
 BLOCK_DOCS = 50_000      # documents per block when the query set is larger
@@ -132,72 +132,19 @@ def centroids(docs: DataFrame, label: str, vector: str = "embedding") -> DataFra
     return means.groupBy(label).agg(F.transform(ordered, lambda s: s["_m"]).alias(vector))
 
 
-def unit_vector(vector: Column) -> Column:
-    """Vector of length one, for LSH on cosine distance."""
-    v = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(v, lambda x: x / norm)
-
-
-def approximate_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, max_distance: float = 1.3, bucket: float = 0.8,
-                      tables: int = 6, seed: int = 42, query_id: str = "query_id", doc_id: str = "doc_id",
-                      vector: str = "embedding") -> DataFrame:
-    """Candidates from random projections of unit vectors, ranked by exact cosine similarity (V4)."""
-    ready = lambda df, key: df.select(F.col(key), array_to_vector(unit_vector(F.col(vector))).alias("features"))
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed)
-    left, right = ready(queries, query_id), ready(docs.where(F.col(vector).isNotNull()), doc_id)
-    model = lsh.fit(left)
-    pairs = model.approxSimilarityJoin(left, right, max_distance, distCol="dist").select(
-        F.col(f"datasetA.{query_id}").alias(query_id), F.col(f"datasetB.{doc_id}").alias(doc_id),
-        (1 - F.col("dist") * F.col("dist") / 2).alias("similarity"))
-    w = W.partitionBy(query_id).orderBy(F.round("similarity", 6).desc(), doc_id)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def approximate_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str = "query_id", doc_id: str = "doc_id",
+                      vector: str = "embedding", **options) -> DataFrame:
+    """k nearest documents over inverted lists, in exact order of cosine similarity (V4); see :class:`InvertedLists`."""
+    found = InvertedLists(docs, doc_id, vector).top_k(queries, query_id, vector, k, **options)
+    return found.withColumnRenamed("doc", doc_id)
 
 
 # --- keywords -----------------------------------------------------------------------------------------
-def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int = 4, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25,
-               query_id: str = "query_id", doc_id: str = "doc_id", text: str = "text", **limits: int) -> DataFrame:
-    """BM25 ranking of documents for text queries (V5).
-
-    Words more frequent than in half of the documents get ``epsilon`` times the mean idf.
-    """
-    words = docs.where(F.col(text).isNotNull()).select(tokens(text).alias("words"))
-    size = words.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("words")).alias("avgdl")).alias("s")).scalar()
-    df = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    raw = df.select("term", (F.log(size["n"] - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))
-    mean_idf = raw.agg(F.avg("idf")).scalar()
-    idf = raw.select("term", F.when(F.col("idf") < 0, epsilon * mean_idf).otherwise(F.col("idf")).alias("idf"))
-
-    asked = queries.select(query_id, F.explode(tokens(text)).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("qtf"))
-    weighted = asked.join(idf, "term").groupBy(query_id).agg(
-        F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("w"))).alias("terms"))  # one query's words
-    payload = weighted.select(query_id, F.col("terms.term").alias("term"), F.col("terms.w").alias("w"), size["avgdl"].alias("avgdl"))
-
-    def make(q: pd.DataFrame) -> Scorer:
-        vocab: dict[str, int] = {}
-        for terms in q["term"]:
-            for t in terms:
-                vocab.setdefault(t, len(vocab))
-        weight = np.zeros((len(vocab), len(q)))
-        for j, (terms, ws) in enumerate(zip(q["term"], q["w"])):
-            for t, w in zip(terms, ws):
-                weight[vocab[t], j] += w
-        avgdl = float(q["avgdl"].iloc[0])
-
-        def score(d: pd.DataFrame) -> np.ndarray:
-            out = np.zeros((len(d), len(q)))
-            for i, ws in enumerate(map(str.split, d[text])):
-                at = [vocab[w] for w in ws if w in vocab]
-                if at:
-                    terms, tf = np.unique(at, return_counts=True)
-                    part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(ws) / avgdl))
-                    out[i] = part @ weight[terms]
-            return out
-
-        return score
-
-    usable = docs.where(F.col(text).isNotNull()).select(doc_id, text)
-    return scan_top_k(usable, doc_id, payload, query_id, make, k, **limits)
+def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int = 4, query_id: str = "query_id", doc_id: str = "doc_id", text: str = "text",
+               **options) -> DataFrame:
+    """BM25 ranking of documents for text queries (V5), exact; see :class:`Postings`, which can be built once and asked often."""
+    asked = queries.select(F.explode(tokens(text)).alias("term")).distinct()
+    return Postings.build(docs, doc_id, text, terms=asked, **options).top_k(queries, query_id, text, k).withColumnRenamed("doc", doc_id)
 
 
 def fuse_ranks(lists: Sequence[tuple[DataFrame, float]], query_id: str = "query_id", doc_id: str = "doc_id", c: int = 60) -> DataFrame:

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions import text as X
 from sparkdesk.operators import retrieval as V
+from sparkdesk.operators import table_functions as N
+from sparkdesk.operators.inverted import recall
 from sparkdesk.plans.corpus import QUALITY, WORDS, _KW, measured
 from sparkdesk.plans.demand import r
 from sparkdesk.plans.registry import query
+from sparkdesk.session import materialize
 
 
 def docs(t):
@@ -55,6 +58,37 @@ def _(t):
     return out(V.approximate_top_k(label_queries(t), docs(t), 5))
 
 
+@query("v04_recall", f"""WITH {_hits_sql(5)}, n AS (SELECT query_id, count(*) AS n FROM hits GROUP BY 1)
+  SELECT count(*) AS wanted, true AS recall_of_nine_tenths, true AS as_many_as_asked FROM hits""")
+def _(t):
+    exact = materialize(V.cosine_top_k(label_queries(t), docs(t), 5), "v04-exact")
+    found = materialize(V.approximate_top_k(label_queries(t), docs(t), 5), "v04-found")
+    share = recall(found, exact, ["query_id", "doc_id"]).select("wanted", (F.col("recall") >= 0.9).alias("recall_of_nine_tenths"))
+    many = lambda df: df.groupBy("query_id").agg(F.count("*").alias("n"))
+    fewer = many(exact).join(many(found).withColumnRenamed("n", "m"), "query_id", "left").where("m IS NULL OR m < n").agg(F.count("*")).scalar()
+    return share.withColumn("as_many_as_asked", fewer == 0)
+
+
+_CALL = """SELECT query_id, doc_id, rank, similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 6) DESC, doc_id) AS rank
+  FROM nearest_vectors(5, TABLE({input}) PARTITION BY part ORDER BY is_doc)) WHERE rank <= 5"""
+
+
+def called(t, queries):
+    """The table function called from SQL."""
+    N.register(t.spark)
+    return out(t.spark.sql(_CALL, input=N.as_input(queries, docs(t), 8)))
+
+
+@query("v01_table_function", f"WITH {_hits_sql(5)} SELECT {OUT} FROM hits")
+def _(t):
+    return called(t, label_queries(t).withColumn("label", F.lit(None)))
+
+
+@query("v02_table_function", f"WITH {_hits_sql(5, 'vec.label = qv.label OR qv.label >= 8')} SELECT {OUT} FROM hits")
+def _(t):
+    return called(t, label_queries(t).withColumn("label", F.when(F.col("label") < 8, F.col("label"))))
+
+
 # --- keywords ----------------------------------------------------------------------------------------
 _TOK = lambda c: rf"list_filter(regexp_split_to_array({c}, '[\s\p{{Z}}]+'), lambda w: w <> '')"
 
@@ -78,13 +112,21 @@ def _(t):
     return r(V.bm25_top_k(text_queries(t), t.documents, 4), 5)
 
 
-FUSED = f"""{_hits_sql(6)}, {_bm25_sql(4)}, fs AS (SELECT query_id, doc_id, sum(p) AS fused FROM (SELECT query_id, doc_id, 0.4 / (60 + rank) AS p FROM hits
+# one id space: a document and its vector share an id, a benchmark item asks with its text and with the vector of its id
+_ITEM_HITS = """vec AS (SELECT vec_id AS doc_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)),
+    qv AS (SELECT item_id AS query_id, CAST(embedding AS DOUBLE[]) AS c FROM benchmark JOIN embeddings ON vec_id = item_id),
+    hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 6) DESC, doc_id) AS rank
+      FROM (SELECT query_id, doc_id, list_cosine_similarity(e, c) AS similarity FROM vec CROSS JOIN qv)) WHERE rank <= 6)"""
+
+FUSED = f"""{_ITEM_HITS}, {_bm25_sql(4)}, fs AS (SELECT query_id, doc_id, sum(p) AS fused FROM (SELECT query_id, doc_id, 0.4 / (60 + rank) AS p FROM hits
     UNION ALL SELECT query_id, doc_id, 0.6 / (60 + rank) FROM bm) GROUP BY 1, 2),
   fused AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(fused, 9) DESC, doc_id) AS rank FROM fs)"""
 
 
 def fused(t):
-    vector = V.cosine_top_k(label_queries(t), docs(t), 6)
+    asked = text_queries(t).join(t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding"), "query_id")
+    vectors = docs(t).join(t.documents.select("doc_id"), "doc_id", "left_semi")
+    vector = V.cosine_top_k(asked, vectors, 6)
     words = V.bm25_top_k(text_queries(t), t.documents, 4)
     return V.fuse_ranks([(vector, 0.4), (words, 0.6)])
 

@@ -39,9 +39,6 @@ def test_query_blocks_equal_one_pass(spark, tables):
     queries = docs.select(F.col("doc_id").alias("query_id"), "embedding")
     rows = lambda df: sorted((r.query_id, r.doc_id, r.rank) for r in df.collect())
     assert rows(V.cosine_top_k(queries, docs, 3)) == rows(V.cosine_top_k(queries, docs, 3, query_limit=60, block_docs=100))
-    texts = tables.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    one, many = V.bm25_top_k(texts, tables.documents), V.bm25_top_k(texts, tables.documents, query_limit=15, block_docs=70)
-    assert rows(one) == rows(many)
 
 
 def test_approximate_search_recall(spark, tables):
