@@ -35,26 +35,36 @@ def _ladder(head: Sequence[tuple[Column, Column]], default: Column) -> Column:
     return default if out is None else out.otherwise(default)
 
 
+# A rung: its condition (None for the last), points, word, and the opening of the bracket that shows the value, if it does.
+Rung = tuple[Column | None, int, str, str | None]
+
+
+def _rated(rungs: Sequence[Rung], value: Column, digits: int, closing: str) -> Column:
+    """The item of the first rung that holds. The rung is found as a number; points and words are looked up in literal
+    arrays and the value is put into text once, not once per rung."""
+    number = _ladder([(cond, F.lit(i)) for i, (cond, *_) in enumerate(rungs[:-1], 1)], F.lit(len(rungs)))
+    points = F.element_at(F.lit([p for _, p, _, _ in rungs]), number)
+    opening = F.element_at(F.lit([f"{word} ({shown}" if shown is not None else word for _, _, word, shown in rungs]), number)
+    shows = F.element_at(F.lit([shown is not None for *_, shown in rungs]), number)
+    reason = F.when(shows, F.concat(opening, fixed(value, digits), F.lit(closing))).otherwise(opening)
+    return F.struct(points.alias("points"), reason.alias("reason"))
+
+
 def _low_is_good(value: Column, bands, missing: str) -> Column:
-    text = lambda word: F.concat(F.lit(f"{word} ("), fixed(value, 2), F.lit(")"))
-    rules = [(value.isNull() | (value <= 0), _item(0, missing))]
-    rules += [(value <= th, _item(p, text(w))) for th, p, w in bands if th is not None]
-    _, points, word = bands[-1]
-    return _ladder(rules, _item(points, text(word)))
+    rungs: list[Rung] = [(value.isNull() | (value <= 0), 0, missing, None)]
+    rungs += [(value <= th if th is not None else None, p, w, "") for th, p, w in bands]
+    return _rated(rungs, value, 2, ")")
 
 
 def _roe(value: Column, bands, low: tuple[int, str], bad: str, missing: str) -> Column:
-    text = lambda word: F.concat(F.lit(f"{word} ("), fixed(value, 1), F.lit("%)"))
-    rules = [(value.isNull(), _item(0, missing))]
-    rules += [(value >= th, _item(p, text(w))) for th, p, w in bands]
-    rules += [(value > 0, _item(low[0], text(low[1])))]
-    return _ladder(rules, _item(0, bad))
+    rungs: list[Rung] = [(value.isNull(), 0, missing, None)]
+    rungs += [(value >= th, p, w, "") for th, p, w in bands]
+    rungs += [(value > 0, low[0], low[1], ""), (None, 0, bad, None)]
+    return _rated(rungs, value, 1, "%)")
 
 
-def _growth(rate: Column, bands, prefix: str = "") -> list[tuple[Column, Column]]:
-    word = lambda w: f"{prefix} {w}".strip()
-    text = lambda th, w: F.concat(F.lit(f"{word(w)} ({'+' if th is not None and th >= 0 else ''}"), fixed(rate, 1), F.lit("%)"))
-    return [(F.lit(True) if th is None else rate >= th, _item(p, text(th, w))) for th, p, w in bands]
+def _growth(rate: Column, bands, prefix: str = "") -> list[Rung]:
+    return [(None if th is None else rate >= th, p, f"{prefix} {w}".strip(), "+" if th is not None and th >= 0 else "") for th, p, w in bands]
 
 
 def _sign(value: Column, name: str) -> Column:
@@ -80,22 +90,19 @@ def profit_block(roe: Column, operating: Column, net: Column) -> Column:
 
 def _profit_growth(cur: Column, prev: Column, name: str, bands) -> Column:
     rate = yoy(cur, prev)
-    top = bands[0][1]
-    rules = [
-        (cur.isNull() | prev.isNull(), _item(0, f"{name} 성장 데이터 부족")),
-        ((prev < 0) & (cur > 0), _item(top, f"{name} 흑자전환")),
-        ((prev > 0) & (cur < 0), _item(0, f"{name} 적자전환")),
-        (rate.isNull(), _item(0, f"{name} 성장률 산출 불가")),
+    rungs: list[Rung] = [
+        (cur.isNull() | prev.isNull(), 0, f"{name} 성장 데이터 부족", None),
+        ((prev < 0) & (cur > 0), bands[0][1], f"{name} 흑자전환", None),
+        ((prev > 0) & (cur < 0), 0, f"{name} 적자전환", None),
+        (rate.isNull(), 0, f"{name} 성장률 산출 불가", None),
     ]
-    grow = _growth(rate, bands, name)
-    return _ladder(rules + grow[:-1], grow[-1][1])
+    return _rated([*rungs, *_growth(rate, bands, name)], rate, 1, "%)")
 
 
 def growth_block(rev: Column, prev_rev: Column, op: Column, prev_op: Column, net: Column, prev_net: Column) -> Column:
     """Growth over last year, up to 25 points; turning to profit counts in full."""
     rate = yoy(rev, prev_rev)
-    grow = _growth(rate, REVENUE_GROWTH)
-    revenue = _ladder([(rate.isNull(), _item(0, "매출 성장 데이터 부족")), *grow[:-1]], grow[-1][1])
+    revenue = _rated([(rate.isNull(), 0, "매출 성장 데이터 부족", None), *_growth(rate, REVENUE_GROWTH)], rate, 1, "%)")
     return _block(revenue, _profit_growth(op, prev_op, "영업이익", PROFIT_GROWTH), _profit_growth(net, prev_net, "순이익", INCOME_GROWTH))
 
 
