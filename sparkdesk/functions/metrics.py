@@ -35,6 +35,11 @@ SERIES_LABELS = (
     ("industry_usage", "산업용", "MWh"),
     ("total_resident_population", "총상주인구", "명"),
 )
+# Names of joint directions by the signs of population and metric, and the name of all other cases.
+USAGE_TRENDS = ((-1, 1, "인구 감소와 사용량 증가"), (1, -1, "인구 증가와 사용량 감소"), (-1, -1, "동반 감소"), (1, 1, "동반 증가"))
+USAGE_TREND_ELSE = "정체"
+SUPPLY_TRENDS = ((-1, 1, "인구 감소와 수급 증가"), (1, -1, "인구 증가와 수급 감소"), (-1, -1, "동반 감소"), (1, 1, "동반 증가"))
+SUPPLY_TREND_ELSE = "정체와 수급 증가"
 CLUSTER_LABELS = (
     (0, "고소득 다인가구 주거지"),
     (1, "표준 중산층 주거지"),

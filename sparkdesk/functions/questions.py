@@ -32,10 +32,12 @@ SUPPLY_WORDS = (
 )
 LIST_WORDS = ("속한", "목록", "어디", "어느")
 TREND_WORDS = ("수급", "가스", "전력", "전기", "소비", "인구", "가구", "변화", "추이", "현황", "보급", "비율")
+SUPPLY_TREND_WORDS = ("수급", "가스수급", "수급가구수", "소득", "인구", "가구", "변화", "추이", "현황")
 CITY_WORD = "서울"
 DISTRICT_PATTERN = r"([가-힣]{2,}구)"
 YEAR_PATTERN = r"(20\d{2})년?"
 CLUSTER_PATTERN = r"(?i)(?:클러스터|cluster|군집|집단)\s*(\d+)"
+SUPPLY_CLUSTER_PATTERN = r"(?i)(?:클러스터|cluster|군집)\s*(\d+)"
 
 
 def districts(question: Column, allowed: Sequence[str] | None = DISTRICTS, blocked: Sequence[str] = NOT_DISTRICTS) -> Column:
@@ -49,17 +51,18 @@ def metric(question: Column, words=USAGE_WORDS, default: str = "total_usage") ->
     return first_match([(any_keyword(question, ws), key) for ws, key in words], default)
 
 
-def tag(question: Column, allowed: Sequence[str] | None = DISTRICTS, words=USAGE_WORDS, default: str = "total_usage") -> Column:
+def tag(question: Column, allowed: Sequence[str] | None = DISTRICTS, words=USAGE_WORDS, default: str = "total_usage",
+        cluster: str = CLUSTER_PATTERN) -> Column:
     """struct(districts, district, year, metric, cluster_id) of a question."""
     found = districts(question, allowed)
     number = lambda pattern: F.regexp_extract(question, pattern, 1).try_cast("int")
     return F.struct(
         found.alias("districts"), F.get(found, F.lit(0)).alias("district"), number(YEAR_PATTERN).alias("year"),
-        metric(question, words, default).alias("metric"), number(CLUSTER_PATTERN).alias("cluster_id"),
+        metric(question, words, default).alias("metric"), number(cluster).alias("cluster_id"),
     )
 
 
-def route(question: Column, tags: Column, city: str = CITY_WORD) -> Column:
+def route(question: Column, tags: Column, city: str = CITY_WORD, trend_words: Sequence[str] = TREND_WORDS) -> Column:
     """Which kind of answer a question asks for."""
     n = F.size(tags["districts"])
     return first_match(
@@ -67,7 +70,7 @@ def route(question: Column, tags: Column, city: str = CITY_WORD) -> Column:
             (question.contains(city) & (n == 0), "overview"),
             (n >= 2, "compare"),
             (tags["cluster_id"].isNotNull() & any_keyword(question, LIST_WORDS), "cluster_list"),
-            ((n == 1) & any_keyword(question, TREND_WORDS), "trend"),
+            ((n == 1) & any_keyword(question, trend_words), "trend"),
             (n == 1, "cluster"),
         ],
         "general",

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.cleaning import fixed, grouped, ratio_text, safe_ratio, share_pct
-from sparkdesk.functions.metrics import SERIES_LABELS, metric_table
+from sparkdesk.functions.metrics import PANEL_METRICS, SERIES_LABELS, USAGE_TRENDS, USAGE_TREND_ELSE, metric_table
 from sparkdesk.functions.rules import first_match
 
 KEY = ["district", "year"]
@@ -141,23 +141,23 @@ def trend_series(panel: DataFrame) -> DataFrame:
     return kpi_rows(panel).select("district", "key", "label", "unit", "year", "value")
 
 
-def with_catalogue(rows: DataFrame) -> DataFrame:
+def with_catalogue(rows: DataFrame, metrics=PANEL_METRICS) -> DataFrame:
     """Label and unit of each metric key; unknown keys keep their name."""
-    dim = F.broadcast(metric_table(rows.sparkSession))  # a literal of 13 rows
+    dim = F.broadcast(metric_table(rows.sparkSession, metrics))  # a literal of a dozen rows
     return rows.join(dim, "key", "left").withColumn("label", F.coalesce("label", "key")).withColumn(
         "unit", F.coalesce("unit", F.lit(""))
     )
 
 
 # --- trends -----------------------------------------------------------------------------------
-def first_last(panel: DataFrame, metric: str) -> DataFrame:
+def first_last(panel: DataFrame, metric: str, population: str = "total_resident_population") -> DataFrame:
     """First and last year of a district: values, difference, percent, direction."""
     ends = panel.groupBy("district").agg(
         F.min("year").alias("start_year"), F.max("year").alias("end_year"),
         F.min_by(metric, "year").cast("double").alias("start_value"),
         F.max_by(metric, "year").cast("double").alias("end_value"),
-        F.min_by("total_resident_population", "year").alias("start_pop"),
-        F.max_by("total_resident_population", "year").alias("end_pop"),
+        F.min_by(population, "year").alias("start_pop"),
+        F.max_by(population, "year").alias("end_pop"),
     )
     diff = F.col("end_value") - F.col("start_value")
     return ends.select(
@@ -170,18 +170,12 @@ def first_last(panel: DataFrame, metric: str) -> DataFrame:
     )
 
 
-def trend_type(ends: DataFrame) -> DataFrame:
-    """Joint direction of population and metric."""
-    pop, val = F.col("end_pop") - F.col("start_pop"), F.col("diff")
-    # fixed values: trend names
-    names = [
-        ((pop < 0) & (val > 0), "인구 감소와 사용량 증가"),
-        ((pop > 0) & (val < 0), "인구 증가와 사용량 감소"),
-        ((pop < 0) & (val < 0), "동반 감소"),
-        ((pop > 0) & (val > 0), "동반 증가"),
-    ]
+def trend_type(ends: DataFrame, names=USAGE_TRENDS, otherwise: str = USAGE_TREND_ELSE) -> DataFrame:
+    """Joint direction of population and metric (B14), in the words of the panel at hand."""
+    pop, val = F.signum((F.col("end_pop") - F.col("start_pop")).cast("double")), F.signum("diff")
+    joint = first_match([((pop == p) & (val == v), name) for p, v, name in names], otherwise)
     pop_only = first_match([(pop > 0, "인구 증가"), (pop < 0, "인구 감소")], "인구 정체")
-    return ends.withColumn("trend_type", first_match(names, "정체")).withColumn("population_trend", pop_only)
+    return ends.withColumn("trend_type", joint).withColumn("population_trend", pop_only)
 
 
 def year_over_year(panel: DataFrame, value: str) -> DataFrame:

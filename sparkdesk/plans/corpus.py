@@ -274,3 +274,43 @@ _ANY = lambda ws: "(" + " OR ".join(f"contains(question, {lit(w)})" for w in ws)
 def _(t):
     rows = asked(t).withColumn("g", Qn.tag(F.col("question")))
     return rows.select("conv_id", "turn", Qn.route(F.col("question"), F.col("g")).alias("route"))
+
+
+# --- the same over the supply panel: any district but the stop words, its own metric and trend words -----------------
+def asked_supply(t):
+    """Questions with a word that only looks like a district, and a metric word of the supply panel."""
+    words = [w for ws, _ in Qn.SUPPLY_WORDS for w in ws]
+    word = F.element_at(F.array(*[F.lit(x) for x in words]), (1 + (F.col("conv_id") + F.col("turn")) % len(words)).cast("int"))
+    return asked(t).withColumn("question", F.concat("question", F.lit(" 수급가구 "), word, F.lit(" 집단 4")))
+
+
+_SUPPLY_WORD = _ARR([w for ws, _ in Qn.SUPPLY_WORDS for w in ws], "conv_id + turn")
+_SUPPLY_ASKED = rf"""{ASKED}, sq AS (SELECT conv_id, turn, question || ' 수급가구 ' || {_SUPPLY_WORD} || ' 집단 4' AS question FROM asked),
+  st AS (SELECT *, TRY_CAST(nullif(regexp_extract(question, '(20\d{{2}})년?', 1), '') AS INTEGER) AS year, TRY_CAST(nullif(regexp_extract(question, '(?i)(?:클러스터|cluster|군집)\s*(\d+)', 1), '') AS INTEGER) AS cluster_id,
+    list_filter(list_transform(list_filter(list_zip(f, range(1, len(f) + 1)), lambda p: list_position(f, p[1]) = p[2]), lambda p: p[1]), lambda d: NOT list_contains([{', '.join(lit(d) for d in Qn.NOT_DISTRICTS)}], d)) AS districts,
+    CASE {' '.join('WHEN ' + ' OR '.join(f"contains(question, {lit(w)})" for w in ws) + f' THEN {lit(key)}' for ws, key in Qn.SUPPLY_WORDS)} ELSE 'gas_supply' END AS metric
+    FROM (SELECT *, regexp_extract_all(question, '([가-힣]{{2,}}구)', 1) AS f FROM sq))"""
+
+
+def _supply_tag():
+    return Qn.tag(F.col("question"), None, Qn.SUPPLY_WORDS, "gas_supply", Qn.SUPPLY_CLUSTER_PATTERN)
+
+
+@query("b20_supply_tags", f"WITH {_SUPPLY_ASKED} SELECT conv_id, turn, array_to_string(districts, ',') AS districts, districts[1] AS district, year, metric, cluster_id FROM st")
+def _(t):
+    rows = asked_supply(t).select("conv_id", "turn", _supply_tag().alias("g")).select("conv_id", "turn", "g.*")
+    return rows.withColumn("districts", F.array_join("districts", ","))
+
+
+@query("b21_supply_route", f"""WITH {_SUPPLY_ASKED} SELECT conv_id, turn, CASE WHEN contains(question, '서울') AND len(districts) = 0 THEN 'overview' WHEN len(districts) >= 2 THEN 'compare'
+  WHEN cluster_id IS NOT NULL AND {_ANY(Qn.LIST_WORDS)} THEN 'cluster_list' WHEN len(districts) = 1 AND {_ANY(Qn.SUPPLY_TREND_WORDS)} THEN 'trend'
+  WHEN len(districts) = 1 THEN 'cluster' ELSE 'general' END AS route FROM st""")
+def _(t):
+    rows = asked_supply(t).withColumn("g", _supply_tag())
+    return rows.select("conv_id", "turn", Qn.route(F.col("question"), F.col("g"), trend_words=Qn.SUPPLY_TREND_WORDS).alias("route"))
+
+
+@query("x11_context_fallback", f"""WITH found AS ({_context_sql("AND contains(s, 'und ')")}) SELECT d.source, coalesce(context, '자료 없음') AS context, coalesce(n_lines, 0) AS n_lines
+  FROM (SELECT DISTINCT source FROM documents) d LEFT JOIN found USING (source)""")
+def _(t):
+    return K.context_lines(t.documents, "source", "doc_id", "text", LATIN, F.array(F.lit("und ")), fallback="자료 없음")

@@ -364,6 +364,25 @@ def _(t):
     return D.transfer_stations(D.daily_cube(t.visits, "station"), MIN_LINES).orderBy(F.col("line_count").desc(), "station")
 
 
+@query("w04_ordered_week", f"""WITH {DAILY} SELECT line, station, CAST(dayofweek(use_ymd) + 1 AS INTEGER) AS day_of_week, count(*) AS week_cnt
+  FROM daily WHERE station = '7' GROUP BY 1, 2, 3 ORDER BY 3, 1""")
+def _(t):
+    week = D.where_equal(D.weekday_load(D.daily_cube(t.daily, "weekday")), station="7")
+    return week.select("line", "station", "day_of_week", "week_cnt").orderBy("day_of_week", "line")
+
+
+@query("w04_ordered_months", f"""WITH {DAILY} SELECT line, station, strftime(use_ymd, '%Y-%m') AS year_month, CAST(sum(ride_num) AS BIGINT) AS total_ride
+  FROM daily WHERE station = '7' GROUP BY 1, 2, 3 ORDER BY 3, 1""")
+def _(t):
+    return D.where_equal(D.monthly_load(D.daily_cube(t.daily, "month")), station="7").drop("total_alight").orderBy("year_month", "line")
+
+
+@query("w04_ordered_lines", f"""WITH {TRANSFER}, one AS (SELECT min(station) AS station FROM transfer) SELECT station, line, count(*) AS tp_cnt FROM visits SEMI JOIN one USING (station) GROUP BY 1, 2 ORDER BY 2""")
+def _(t):
+    pattern = D.transfer_pattern(D.daily_cube(t.visits, "station"), MIN_LINES)
+    return pattern.where(F.col("station") == pattern.agg(F.min("station")).scalar()).select("station", "line", "tp_cnt").orderBy("line")
+
+
 @query("w05_top_total", f"""WITH {DAILY} SELECT {DAILY_OUT}, ride_num + alight_num AS total FROM daily
   ORDER BY total DESC, use_ymd, line, station LIMIT 20""")
 def _(t):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions import calendar as C
 from sparkdesk.functions import cleaning as N
-from sparkdesk.functions.metrics import CLUSTER_LABELS, PANEL_METRICS, SERIES_LABELS, cluster_label_table
+from sparkdesk.functions.metrics import CLUSTER_LABELS, PANEL_METRICS, SERIES_LABELS, SUPPLY_METRICS, SUPPLY_TREND_ELSE, SUPPLY_TRENDS, cluster_label_table
 from sparkdesk.operators import dedup as U
 from sparkdesk.operators import panel as P
 from sparkdesk.operators import quantiles as Q
@@ -544,6 +544,32 @@ def _(t):
     return P.trend_type(P.first_last(t.panel_full, "total_usage")).select("district", "trend_type", "population_trend")
 
 
+_MERGED = f"""{SUPPLY}, supply AS (SELECT district, year, gas_supply, avg_income, total_pop, total_households FROM gas JOIN income USING (district, year) JOIN people USING (district, year))"""
+
+
+@query("b14_supply_trend", f"""WITH {_MERGED}, e AS (SELECT district, arg_max(total_pop, year) - arg_min(total_pop, year) AS pop, arg_max(gas_supply, year) - arg_min(gas_supply, year) AS gas FROM supply GROUP BY 1)
+  SELECT district, CASE WHEN pop < 0 AND gas > 0 THEN '인구 감소와 수급 증가' WHEN pop > 0 AND gas < 0 THEN '인구 증가와 수급 감소' WHEN pop < 0 AND gas < 0 THEN '동반 감소'
+    WHEN pop > 0 AND gas > 0 THEN '동반 증가' ELSE '정체와 수급 증가' END AS trend_type FROM e""")
+def _(t):
+    ends = P.first_last(P.merge_supply(gas(t), income(t), people(t)), "gas_supply", "total_pop")
+    return P.trend_type(ends, SUPPLY_TRENDS, SUPPLY_TREND_ELSE).select("district", "trend_type")
+
+
+_SUPPLY_CAT = ", ".join(f"('{k}', '{label}', '{unit}')" for k, label, unit in SUPPLY_METRICS)
+_SUPPLY_KEYS = ("gas_supply", "avg_income", "total_pop", "total_households")
+
+
+@query("p27_supply_catalogue", f"""WITH {_MERGED}, cat(key, label, unit) AS (VALUES {_SUPPLY_CAT}),
+  long AS ({" UNION ALL ".join(f"SELECT district, year, '{k}' AS key, CAST({k} AS DOUBLE) AS value FROM supply" for k in _SUPPLY_KEYS)}
+    UNION ALL SELECT district, year, 'gas_per_pop', round(gas_supply / CAST(total_pop AS DOUBLE), 6) FROM supply)
+  SELECT district, year, key, value, coalesce(label, key) AS label, coalesce(unit, '') AS unit FROM long LEFT JOIN cat USING (key)""")
+def _(t):
+    cols = [*_SUPPLY_KEYS, "gas_per_pop"]
+    wide = P.merge_supply(gas(t), income(t), people(t)).withColumn("gas_per_pop", F.round(F.col("gas_supply") / F.col("total_pop"), 6))
+    long = wide.select("district", "year", *[F.col(c).cast("double") for c in cols]).unpivot(["district", "year"], cols, "key", "value")
+    return P.with_catalogue(long, SUPPLY_METRICS)
+
+
 @query("w08_year_over_year", f"""WITH {PANEL_FULL} SELECT c.district, c.year, c.total_usage AS current, p.total_usage AS previous,
   round((c.total_usage - p.total_usage) / CAST(nullif(abs(p.total_usage), 0) AS DOUBLE) * 100, 6) AS yoy
   FROM panel_full c LEFT JOIN panel_full p ON p.district = c.district AND p.year = c.year - 1""")
