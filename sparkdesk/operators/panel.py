@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkdesk.functions.cleaning import fixed, grouped, ratio_text, safe_ratio, share_pct
+from sparkdesk.functions import templates as T
+from sparkdesk.functions.cleaning import grouped, ratio_text, safe_ratio, share_pct
 from sparkdesk.functions.metrics import PANEL_METRICS, SERIES_LABELS, USAGE_TRENDS, USAGE_TREND_ELSE, metric_table
 from sparkdesk.functions.rules import first_match
+from sparkdesk.functions.templates import fill
 
 KEY = ["district", "year"]
 USAGE = ["home_usage", "public_usage", "service_usage", "industry_usage"]
@@ -283,77 +285,35 @@ def cluster_summary(profile: DataFrame, overall: DataFrame, features: list[str]
 # --- sentences ----------------------------------------------------------------------------------
 def trend_fact(panel: DataFrame, metric: str, label: str, unit: str, is_ratio: bool = False) -> DataFrame:
     """Start to end sentence with one line per year."""
-    show = (lambda c: ratio_text(c)) if is_ratio else (lambda c: grouped(c, unit))
-    line = F.concat(
-        F.lit("  "), F.col("year").cast("string"), F.lit("년: 전체 "), grouped(total_usage(), "MWh"), F.lit(f", {label} "),
-        show(F.col(metric)), F.lit(", 인구 "), grouped(F.col("total_resident_population"), "명"),
-    )
-    lines = panel.groupBy("district").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("year", line.alias("line")))), lambda x: x["line"]),
-                     "\n").alias("detail")
-    )
-    ends = first_last(panel, metric)
-    fact = F.concat(
-        F.col("district"), F.lit(f" {label} 추세 ("), F.col("start_year").cast("string"), F.lit("→"),
-        F.col("end_year").cast("string"), F.lit("):\n  "), F.col("start_year").cast("string"), F.lit("년 "),
-        show(F.col("start_value")), F.lit(" → "), F.col("end_year").cast("string"), F.lit("년 "), show(F.col("end_value")),
-        F.lit(" ("), fixed(F.abs("diff_pct"), 1), F.lit("% "), F.col("status"),
-        F.lit(")\n연도별 상세:\n"), F.col("detail"),
-    )
-    return ends.join(lines, "district").select("district", fact.alias("fact"))
-
-
-def _shares(side: str) -> Column:
-    part = lambda word, c: F.concat(
-        F.lit(f"{word} "), grouped(F.col(f"{side}_{c}"), "MWh"), F.lit("("),
-        fixed(share_pct(f"{side}_{c}", f"{side}_total_usage"), 1), F.lit("%)"),
-    )
-    return F.concat(
-        F.col(f"district_{side}"), F.lit(": 전체 "), grouped(F.col(f"{side}_total_usage"), "MWh"), F.lit(", "),
-        part("가정용", "home_usage"), F.lit(", "), part("서비스업", "service_usage"), F.lit(", "),
-        part("산업용", "industry_usage"), F.lit(", "), part("공공용", "public_usage"), F.lit(". 상주인구 "),
-        grouped(F.col(f"{side}_total_resident_population"), "명"), F.lit("."),
-    )
+    show = ratio_text if is_ratio else (lambda c: grouped(c, unit))
+    named = F.lit(label)
+    line = fill(T.TREND_LINE, total=total_usage(), label=named, value=show(F.col(metric)), people=F.col("total_resident_population"))
+    by_year = F.array_sort(F.collect_list(F.struct("year", line.alias("line"))))  # as long as the panel has years
+    lines = panel.groupBy("district").agg(F.array_join(F.transform(by_year, lambda x: x["line"]), "\n").alias("detail"))
+    fact = fill(T.TREND, label=named, first=show(F.col("start_value")), last=show(F.col("end_value")), percent=F.abs("diff_pct"))
+    return first_last(panel, metric).join(lines, "district").select("district", fact.alias("fact"))
 
 
 def comparison_fact(panel: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Two districts side by side, the higher one and the gap."""
-    cols = [*USAGE, "total_usage", "total_resident_population"]
-    side = lambda s: panel.select("year", F.col("district").alias(f"district_{s}"), *[F.col(c).alias(f"{s}_{c}") for c in cols])
-    wide = pairs.join(side("a"), ["year", "district_a"]).join(side("b"), ["year", "district_b"])
-    gap = F.abs(F.col("a_total_usage") - F.col("b_total_usage"))
-    smaller = F.least("a_total_usage", "b_total_usage")
-    pct = F.when(smaller > 0, F.bround(gap / smaller * 100, 1)).otherwise(0.0)
-    higher = F.when(F.col("a_total_usage") >= F.col("b_total_usage"), F.col("district_a")).otherwise(F.col("district_b"))
-    fact = F.concat(
-        F.col("year").cast("string"), F.lit("년 기준.\n"), _shares("a"), F.lit("\n"), _shares("b"),
-        F.lit("\n전체 전력사용량은 "), higher, F.lit("가 더 높으며, 차이는 "), grouped(gap, "MWh"), F.lit("("),
-        fixed(pct, 1), F.lit("%)."),
-    )
+    """Two districts side by side, the higher one and the gap (B22). A district's half is written once, however many pairs it is in."""
+    kinds = {c.removesuffix("_usage"): share_pct(c, "total_usage") for c in USAGE}
+    halves = panel.select("year", "district", F.col("total_usage").alias("total"), fill(T.COMPARISON_SIDE, **kinds).alias("text"))
+    half = lambda s: halves.select("year", *[F.col(c).alias(f"{c}_{s}") for c in ("district", "total", "text")])
+    wide = pairs.join(half("a"), ["year", "district_a"]).join(half("b"), ["year", "district_b"])
+    a, b = F.col("total_a"), F.col("total_b")
+    gap, least = F.abs(a - b), F.least(a, b)
+    fact = fill(T.COMPARISON, side_a=F.col("text_a"), side_b=F.col("text_b"), gap=gap, higher=F.when(a >= b, F.col("district_a")).otherwise(F.col("district_b")),
+                percent=F.when(least > 0, F.bround(gap / least * 100, 1)).otherwise(0.0))
     return wide.select("year", "district_a", "district_b", fact.alias("fact"))
 
 
 def cluster_fact(panel: DataFrame, labelled: DataFrame) -> DataFrame:
     """A district's cluster, usage and shares in a sentence; ``labelled`` has cluster and label per cell."""
-    pct = lambda c: fixed(F.col(c) * 100, 1)
-    fact = F.concat(
-        F.col("year").cast("string"), F.lit("년 "), F.col("district"), F.lit("는 Cluster "), F.col("cluster_label"), F.lit("("),
-        F.col("cluster").cast("string"), F.lit(")에 속한다. 전체 전력사용량 "), grouped(total_usage(), "MWh"), F.lit(", 가정용 "),
-        grouped("home_usage", "MWh"), F.lit("("), pct("home_ratio"), F.lit("%), 서비스업 "), grouped("service_usage", "MWh"),
-        F.lit("("), pct("service_ratio"), F.lit("%), 산업용 "), grouped("industry_usage", "MWh"), F.lit("("),
-        pct("industry_ratio"), F.lit("%). 상주인구 "), grouped("total_resident_population", "명"), F.lit("."),
-    )
-    return panel.join(labelled, KEY).select(*KEY, fact.alias("fact"))
+    shares = {kind: F.col(f"{kind}_ratio") * 100 for kind in ("home", "service", "industry")}
+    return panel.join(labelled, KEY).select(*KEY, fill(T.CLUSTER, total=total_usage(), **shares).alias("fact"))
 
 
 def city_fact(panel: DataFrame, city: str = "") -> DataFrame:
     """Whole-city totals of a year in a sentence."""
-    mwh = lambda word, c: F.concat(F.lit(f"{word} "), grouped(c, "MWh"))
-    fact = F.concat(
-        F.col("year").cast("string"), F.lit(f"년 {city}전체 전력사용량: "), grouped("total_usage", "MWh"), F.lit(" ("),
-        mwh("가정용", "home_usage"), F.lit(", "), mwh("공공용", "public_usage"), F.lit(", "), mwh("서비스업", "service_usage"),
-        F.lit(", "), mwh("산업용", "industry_usage"), F.lit("). 자치구별 평균 "), grouped("usage_per_district", "MWh"),
-        F.lit(". 총 상주인구 "), grouped("total_resident_population", "명"), F.lit(" (자치구별 평균 "),
-        grouped(F.col("total_resident_population") / F.col("districts"), "명"), F.lit(")."),
-    )
-    return city_totals(panel).select("year", fact.alias("fact"))
+    people = F.col("total_resident_population") / F.col("districts")
+    return city_totals(panel).select("year", fill(T.CITY, city=F.lit(city), people_per_district=people).alias("fact"))
