@@ -2,15 +2,21 @@
 
 Only suffixes (of the word sequence of a text) that start at content-selected places are kept: the least of each ``window``
 consecutive 8-word hashes. A passage of ``least_words`` words holds such a place early enough that ``KEY_WORDS`` words of it
-follow, and every copy of it selects the same place. The kept suffixes of all documents are sorted by their first
-``KEY_WORDS`` words, then by the next ones; neighbours that share the first words are extended to the left and to the right on the
-texts, and what reaches ``least_words`` is a repeat. Words are compared as hashes (white space and A-Z case don't count).
+follow, and every copy of it selects the same place. How many words of the passage stand ahead of the place is not known, so
+a place has a key for each ``STEP`` words it may be: the words from there on, as many as every such passage holds. The
+suffixes of all documents are sorted by key, then by the words beyond it to the left and to the right; neighbours of one key
+are extended to the left and to the right on the texts, and what reaches ``least_words`` is a repeat. Words are compared as
+hashes (white space and A-Z case don't count).
+
+With 50 words and steps of 7 neighbours of a key share 44 words of a passage. Copies of one passage stand side by side, but
+for the case that further texts hold those 44 words, and not the other 6, between them in the order.
 
 The sort is by ranges, so a passage that a third of all documents hold is spread over many tasks; neighbours are as many as
-suffixes, whatever the groups' sizes.
+keys, whatever the groups' sizes.
 
-Rows: null, empty and short texts have no passage. Rows with a null doc_id are not compared. A doc_id names one text: of
-repeated rows of an id one is read, so they don't repeat each other. An empty table gives an empty result. Other columns are not read.
+Rows: null, empty and short texts have no passage; a very long text is read like any other. Rows with a null doc_id are not
+compared. A doc_id names one text: of rows of one id the one of the smallest text is read, so they don't repeat each other.
+Ties in the sort go by doc_id and place. An empty table gives an empty result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -24,12 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkdesk.llm.common import keep_ids
-from sparkdesk.llm.textbytes import slices, span_hashes, spaced_words, windows
+from sparkdesk.llm.textbytes import mix, slices, span_hashes, spaced_words, windows
 from sparkdesk.session import materialize
 
 LEAST_WORDS = 50
 GRAM = 8
 KEY_WORDS = 16
+STEP = 7
 
 
 def selected(words: np.ndarray, window: int) -> np.ndarray:
@@ -41,34 +48,36 @@ def selected(words: np.ndarray, window: int) -> np.ndarray:
     return np.unique(least + np.arange(len(least)))
 
 
-def suffixes(docs: DataFrame, least_words: int) -> DataFrame:
-    """(key, next, doc_id, place): the selected suffixes with hashes of their first words and of as many after them."""
+def keyed(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, side, start) of a text: for each number of words that may stand ahead of a selected place the words from there on."""
     window = least_words - KEY_WORDS + 1 - (GRAM - 1)
+    places = selected(words, window) if len(words) >= least_words else np.empty(0, np.int64)
+    held = least_words - STEP + 1  # words that every passage of a step holds
+    start = np.unique(np.concatenate([places - ahead for ahead in range(0, window, STEP)]))
+    start = start[(start >= 0) & (start + held <= len(words))]
+    left = span_hashes(words, np.maximum(start - STEP + 1, 0), start)
+    right = span_hashes(words, start + held, np.minimum(start + held + STEP - 1, len(words)))
+    return span_hashes(words, start, start + held), mix(left) + right, start
+
+
+def suffixes(docs: DataFrame, least_words: int) -> DataFrame:
+    """(key, next, doc_id, place): the selected suffixes under each of their keys."""
 
     def run(batches):
         for batch in slices(batches):
             words, first = spaced_words(batch.column("text"))
             out = [[], [], [], []]
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), first[:-1], first[1:], strict=True):
-                places = selected(words[a:b], window) if b - a >= least_words else ()
-                if not len(places):
-                    continue
-                places = places[places + KEY_WORDS <= b - a]
-                mid, end = a + places + KEY_WORDS, np.minimum(a + places + 3 * KEY_WORDS, b)
-                for column, values in zip(out, (span_hashes_of(words, a + places, mid), span_hashes_of(words, mid, end), np.full(len(places), doc_id), places), strict=True):
-                    column.append(values)
-            key, after, doc, place = (np.concatenate(x) if x else np.empty(0, np.int64) for x in out)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(after.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(place.astype(np.int32))], ["key", "next", "doc_id", "place"])
+                if b - a >= least_words:
+                    key, side, place = keyed(words[a:b], least_words)
+                    for column, values in zip(out, (key, side, np.full(len(key), doc_id), place), strict=True):
+                        column.append(values)
+            key, side, doc, place = (np.concatenate(x) if x else np.empty(0, np.int64) for x in out)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(side.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(place.astype(np.int32))], ["key", "next", "doc_id", "place"])
 
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key long, next long, doc_id long, place int")
 
 
-def span_hashes_of(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of stretches, from the part of ``words`` that they cover."""
-    low, high = (int(starts.min()), int(ends.max())) if len(starts) else (0, 0)
-    return span_hashes(words[low:high], starts - low, ends - low)
-
-
 def neighbours(kept: DataFrame, name: str) -> DataFrame:
     """(a, a_place, b, b_place): each suffix and the next one in the order, where both begin with the same words."""
     names = ["a_key", "a", "a_place", "b_key", "b", "b_place", "part"]
@@ -128,7 +137,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     pairs = pairs.select(x.alias("x"), y.alias("y"), i.alias("i"), (i - j).alias("shift")).groupBy("x", "y", "shift").agg(F.collect_set("i").alias("places"))
     pairs = materialize(pairs.groupBy("x", "y").agg(F.collect_list(F.struct("shift", "places")).alias("lines")), "suffix-pairs")  # of two texts, not of a group
     ids = materialize(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct(), "suffix-ids")
-    texts = keep_ids(docs.select("doc_id", "text"), ids, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"))
+    texts = keep_ids(docs.select("doc_id", "text"), ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = materialize(texts, "suffix-texts")
 
     def verify(batches):
