@@ -67,6 +67,16 @@ def test_inverted_lists_find_nine_tenths_and_never_fewer(spark):
     assert InvertedLists(docs.limit(0), "doc_id", "embedding").top_k(queries, "query_id", "embedding", 3).count() == 0
 
 
+def test_inverted_lists_find_nine_tenths_of_random_vectors(spark):
+    """Neighbours of vectors without any structure lie in most lists; so many are read that they are found all the same."""
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame([(i, rng.standard_normal(32).tolist()) for i in range(4000)], "doc_id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, rng.standard_normal(32).tolist()) for i in range(40)], "query_id long, embedding array<double>")
+    exact = V.cosine_top_k(queries, docs, 5)
+    found = InvertedLists(docs, "doc_id", "embedding").top_k(queries, "query_id", "embedding", 5).withColumnRenamed("doc", "doc_id")
+    assert recall(found, exact, ["query_id", "doc_id"]).first().recall >= 0.9
+
+
 def test_table_function_from_sql(spark):
     rng = np.random.default_rng(6)
     docs = spark.createDataFrame([(i, i % 3, rng.standard_normal(4).tolist()) for i in range(5000)] + [(9000, 1, None), (9001, 1, [0.0] * 4)], "doc_id long, label long, embedding array<double>")
