@@ -42,13 +42,18 @@ CORE_PATTERNS = (
 
 
 # --- resolution ---------------------------------------------------------------------------------
+NAMES_PER_TASK = 20_000
+
+
 def _best_by_substring(names: DataFrame, needles: DataFrame, best: Column) -> DataFrame:
     """Best row for each needle contained in some name.
 
     Every substring of a name whose length is asked for becomes a key; equal substrings are reduced
     to their best row before the shuffle, then matched by equality. The work grows with the number
-    of names, not with names x needles, and a substring shared by all names stays one row.
+    of names, not with names x needles, and a substring shared by all names stays one row. A small file
+    holds many names and a name many substrings, so a task gets ``NAMES_PER_TASK`` names, however the files are cut.
     """
+    names = names.repartition(max(1, -(-names.count() // NAMES_PER_TASK)))
     lengths = needles.agg(F.array_sort(F.collect_set(F.length("needle"))))  # at most one entry per name length
     size = F.length("text")
     keyed = names.select("text", "row", F.explode(lengths.scalar()).alias("_n")).where((F.col("_n") > 0) & (F.col("_n") <= size))

@@ -181,3 +181,15 @@ def test_classifier_learns(spark):
     df = spark.createDataFrame(rows, "rcept_no long, label string, text string")
     model = Z.train_classifier(df, features=256, max_iter=5)
     assert Z.evaluation_summary(Z.score_texts(model, df)).first().accuracy == 1.0
+
+
+def test_names_are_dealt_over_tasks(spark, monkeypatch):
+    """Names of one small file are exploded in tasks of a bounded number of names."""
+    from sparkdesk.operators import companies as B
+
+    monkeypatch.setattr(B, "NAMES_PER_TASK", 10, raising=False)
+    names = spark.createDataFrame([(f"alpha{i:03d}", i) for i in range(45)], "text string, row int").coalesce(1)
+    needles = spark.createDataFrame([("alpha",), ("a044",)], "needle string")
+    found = B._best_by_substring(names, needles, F.col("row"))
+    assert sorted(map(tuple, found.collect())) == [("a044", 44), ("alpha", 0)]
+    assert "RoundRobinPartitioning(5)" in found._jdf.queryExecution().toString()
