@@ -1,4 +1,4 @@
-"""Stream queries: the given tables arrive as files, one file per trigger, and the stream result is a table."""
+"""Stream queries: the given tables arrive as deliveries of files, the stream takes each as it comes, and its result is a table."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from sparkdesk.operators.demand import station_load
 from sparkdesk.plans.demand import GOLD, DAILY_OUT, day_text, r, raw_daily
 from sparkdesk.plans.registry import query
 from sparkdesk.plans.tables import DAILY
-from sparkdesk.session import shared_dir
+from sparkdesk.session import materialize, shared_dir
 from sparkdesk.streaming import jobs as J
 
 HORIZON = 120
@@ -17,25 +17,25 @@ HORIZON = 120
 @query("r01_stream_to_silver", f"WITH {DAILY} SELECT {DAILY_OUT} FROM daily")
 def _(t):
     path = shared_dir(t.spark, "r01")
-    rows = raw_daily(t).coalesce(1)
     for part in ("1", "2"):  # the second delivery repeats the first
-        rows.write.csv(f"{path}/landing/part={part}", header=True)
-    landing = J.read_landing(t.spark, f"{path}/landing/*", files_per_trigger=1)
-    J.stream_to_silver(landing, f"{path}/silver", f"{path}/rejects", f"{path}/cp", by="month").awaitTermination()
+        raw_daily(t).write.csv(f"{path}/landing/part={part}", header=True)
+        landing = J.read_landing(t.spark, f"{path}/landing/*")
+        J.stream_to_silver(landing, f"{path}/silver", f"{path}/rejects", f"{path}/cp", by="month").awaitTermination()
     return day_text(t.spark.read.schema(f"{J.SILVER}, use_mm string").parquet(f"{path}/silver").drop("use_mm"))
 
 
 def delivered(t, name):
-    """All days in four files, one per trigger: even stations up to a cut, a file that repeats a year, later days, and at last the
+    """All days in four deliveries: even stations up to a cut, one that repeats a year, later days, and at last the
     odd stations' half of everything, far behind the horizon of the others."""
     path = shared_dir(t.spark, name)
+    daily = materialize(t.daily, name)
     even, cut = F.crc32(F.concat("station", "line").cast("binary")) % 2 == 0, F.lit("1999-01-01").cast("date")
     old = F.col("use_ymd") < cut
     late = F.dayofmonth("use_ymd") == 9
     for i, part in enumerate((old & even & ~late, F.year("use_ymd") == 1997, ~old & even, ~even | late)):
-        t.daily.where(part).coalesce(1).write.parquet(f"{path}/in/d={i}")
-    source = t.spark.readStream.schema(t.daily.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
-    J.stream_to_gold(source, f"{path}/gold", f"{path}/cp", HORIZON).awaitTermination()
+        daily.where(part).write.parquet(f"{path}/in/d={i}")
+        source = t.spark.readStream.schema(daily.schema).parquet(f"{path}/in/*")
+        J.stream_to_gold(source, f"{path}/gold", f"{path}/cp", HORIZON).awaitTermination()
     return f"{path}/gold"
 
 

@@ -193,3 +193,15 @@ def test_names_are_dealt_over_tasks(spark, monkeypatch):
     found = B._best_by_substring(names, needles, F.col("row"))
     assert sorted(map(tuple, found.collect())) == [("a044", 44), ("alpha", 0)]
     assert "RoundRobinPartitioning(5)" in found._jdf.queryExecution().toString()
+
+
+def test_deliveries_are_not_written_by_one_task(spark, sf_dir, monkeypatch):
+    from sparkdesk.plans import load_all
+    from sparkdesk.plans.registry import QUERIES
+
+    def alone(self, n):
+        raise AssertionError("a whole delivery in one task")
+
+    load_all()
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", alone)
+    assert QUERIES["r01_stream_to_silver"](spark, sf_dir).count() > 0
