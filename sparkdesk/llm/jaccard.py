@@ -6,9 +6,14 @@ for can't link. Survivors are verified on their whole shingle sets.
 
 1. A profile per document: set size, set id, point, and the first shingles in a fixed order. Documents of the asked
    similarity share one of those, so each such shingle is a block and documents alone in all their blocks are done.
-2. Each member of a block is held against the block's first one: bound, then verification. A block of thousands of near
-   copies costs one pair each, and becomes one component or a few; a few turns hold one member of each against another.
+   Where a shingle stands in the order bounds what two members can share that have no earlier one in common; members that
+   so have no possible partner leave the block.
+2. Each set is held against one other, the one that comes first in most of its blocks: bound, then verification. Thousands
+   of near copies cost one pair each, and become one component or a few; a turn holds one member of each, in every block,
+   against another.
 3. Blocks that still hold several components are searched with an R-tree for pairs across components; those are verified too.
+   A round takes the likeliest partners of each set; blocks that had more are searched again with the components that came
+   of it, the last time for all pairs.
 4. Components of all links; members of one component need no further pairs, so no link between different texts is lost.
 
 Rows: a null or empty text, or one without words, has an empty set and stands alone. Equal sets are one point with one
@@ -19,7 +24,6 @@ linked; it never names a component. An empty table gives an empty result. Other
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +47,10 @@ SAMPLE_DOCS = 4096  # documents whose shingles decide which ones are common
 COMMON_SHARE = 200  # common: in more than one of so many sampled documents
 COMMON_MOST = 65_536
 FANOUT = 16
+PARTNERS = 4  # of a set in one block, in the first round of the search; four times as many in each further one
+ROUNDS = 3  # with bounded partners; then all pairs that are left
+PAIRS_HELD = 200_000  # before the likeliest are chosen
 PAIRS_AT_ONCE = 2048  # of tree nodes, in one piece of work
-KEYS_KEPT = 256  # rows of a block whose blocks are held as sets at a time
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -86,10 +92,6 @@ def set_id(found: np.ndarray) -> int:
     return int(np.uint64((value & ~0xFF) | code).astype(np.int64))
 
 
-def _size_class(sid: Column) -> Column:
-    return sid.bitwiseAND(F.lit(255))
-
-
 def linked(shared: int | np.ndarray, n: int | np.ndarray, m: int | np.ndarray, percent: int):
     return (shared * (100 + percent) >= percent * (n + m)) & (np.minimum(n, m) > 0)
 
@@ -100,24 +102,34 @@ class CountTree:
     A node keeps the largest count per group and the smallest size below it; that bounds every pair under two nodes.
     """
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray | None = None):
         self.order = np.lexsort((points.argmax(axis=1), sizes))
         self.tops, self.least, self.largest = [points[self.order]], [sizes[self.order]], [sizes[self.order]]
+        labels = np.arange(len(sizes)) if labels is None else labels
+        self.low, self.high = [labels[self.order]], [labels[self.order]]  # pairs of one label are not asked for
         while len(self.tops[-1]) > 1:
             cut = np.arange(0, len(self.tops[-1]), FANOUT)
             self.tops.append(np.maximum.reduceat(self.tops[-1], cut))
             self.least.append(np.minimum.reduceat(self.least[-1], cut))
             self.largest.append(np.maximum.reduceat(self.largest[-1], cut))
+            self.low.append(np.minimum.reduceat(self.low[-1], cut))
+            self.high.append(np.maximum.reduceat(self.high[-1], cut))
 
     def bound(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         """Whether some pair under the nodes ``a`` and ``b`` of a level may link."""
         small, top = self.least[level], self.largest[level]
         fits = (100 * top[a] >= percent * small[b]) & (100 * top[b] >= percent * small[a])
-        shared = np.minimum(self.tops[level][a], self.tops[level][b]).sum(axis=1, dtype=np.int64)
-        return fits & (shared * (100 + percent) >= percent * (small[a] + small[b]))
+        if level:
+            fits &= np.minimum(self.low[level][a], self.low[level][b]) != np.maximum(self.high[level][a], self.high[level][b])
+        at = np.flatnonzero(fits)
+        fits[at] = self.shared(level, a[at], b[at]) * (100 + percent) >= percent * (small[a[at]] + small[b[at]])
+        return fits
+
+    def shared(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.minimum(self.tops[level][a], self.tops[level][b]).sum(axis=1, dtype=np.int64)
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows (each once) that the bounds leave, by a joint descent in pieces of bounded size."""
+        """Pairs of rows of different labels (each once) that the bounds leave, by a joint descent in pieces of bounded size."""
         step = max(64, min(PAIRS_AT_ONCE, (2 << 20) // self.tops[0].shape[1]))  # a node pair opens into FANOUT squared
         todo = [(len(self.tops) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while todo:
@@ -128,7 +140,7 @@ class CountTree:
             keep = self.bound(level, a, b, percent)
             a, b = a[keep], b[keep]
             if not level:
-                off = a < b
+                off = (a < b) & (self.low[0][a] != self.low[0][b])
                 yield self.order[a[off]], self.order[b[off]]
             elif len(a):
                 below, span = len(self.tops[level - 1]), np.arange(FANOUT)
@@ -224,13 +236,106 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, pe
     return materialize(at.select("u", "v", "u_text", "v_text").mapInArrow(verify, "u long, v long").distinct(), f"{name}-links")
 
 
+def _size(at: Column) -> Column:
+    return F.shiftrightunsigned(at, 32)
+
+
+def _rest(at: Column) -> Column:
+    """The shingles of a set from a place on: as many as it can share with a set that it meets there first."""
+    return _size(at) - at.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def _with_partners(members: DataFrame, percent: int) -> DataFrame:
-    """Members of blocks (key, sid) in whose block another one has a size that may link."""
-    reach = int(np.ceil(np.log(100 / percent) / np.log(SIZE_STEP))) + 1
-    by_size = Window.partitionBy("key").orderBy("size", "sid")
-    members = members.withColumn("size", _size_class(F.col("sid")))
-    near = (F.col("size") - F.lag("size").over(by_size) <= reach) | (F.lead("size").over(by_size) - F.col("size") <= reach)
-    return members.withColumn("near", near).where("near").drop("size", "near")
+    """Members of blocks (key, sid, at) that may link with another one of their block, by sizes; of two by their places too."""
+    block = Window.partitionBy("key")
+    by_size = block.orderBy("at", "sid")
+    at, before, after = F.col("at"), F.lag("at").over(by_size), F.lead("at").over(by_size)
+    other = F.coalesce(before, after)
+    both = F.least(_rest(at), _rest(other)) * (100 + percent) >= (_size(at) + _size(other)) * percent
+    sizes = (_size(before) * 100 >= _size(at) * percent) | (_size(at) * 100 >= _size(after) * percent)
+    near = F.when(F.count("*").over(block) == 2, both).otherwise(sizes)
+    return members.withColumn("near", near).where("near").drop("near")
+
+
+def _joined(labels: DataFrame, more: DataFrame, name: str) -> DataFrame:
+    """``labels`` (node, label: the smallest of its component) after further links ``more`` (u, v): only the labels they tie are joined anew."""
+    for k in "uv":
+        of = labels.select(F.col("node").alias(k), F.col("label").alias(f"{k}_label"))
+        more = more.join(of, k, "left").withColumn(f"{k}_label", F.coalesce(f"{k}_label", k))
+    more = materialize(more.select("u", "v", "u_label", "v_label"), f"{name}-tied")
+    moved = components(more.select(F.col("u_label").alias("u"), F.col("v_label").alias("v")).where("u <> v"), name)
+    fresh = more.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    nodes = labels.union(fresh).withColumnRenamed("label", "old")
+    return materialize(nodes.join(moved.withColumnsRenamed({"node": "old"}), "old", "left").select("node", F.coalesce("label", "old").alias("label")), f"{name}-joined")
+
+
+def likeliest(a: np.ndarray, b: np.ndarray, bound: np.ndarray, most: int) -> np.ndarray:
+    """Of pairs (a, b) those with one of the ``most`` highest bounds of either end."""
+    ends, times, pair = np.concatenate([a, b]), np.tile(bound, 2), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((-times, ends))
+    ends = ends[order]
+    heads = np.flatnonzero(np.concatenate(([True], ends[1:] != ends[:-1])))
+    rank = np.arange(len(ends)) - np.repeat(heads, np.diff(np.append(heads, len(ends))))
+    return np.unique(pair[order[rank < most]])
+
+
+def _across(blocks: DataFrame, sets: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """(u, v): pairs of set ids of different labels in one block of ``blocks`` (key, sid, label, at) that the bounds leave.
+
+    With ``most`` the likeliest of each set; a block that had more is named by a row of its key and null.
+    """
+
+    def across(batches):
+        held, last = [], None
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if keys[a] != last:
+                    yield from search(held)
+                    held, last = [], keys[a]
+                held.append(batch.slice(a, b - a))
+        yield from search(held)
+
+    def search(held):
+        if not held:
+            return
+        whole = pa.Table.from_batches(held)
+        sid, label, at = (whole.column(c).to_numpy() for c in ("sid", "label", "at"))
+        n, points = at >> 32, whole.column("point").to_pylist()
+        rest = n - (at & 0xFFFFFFFF)
+        groups = np.array([len(p) for p in points])
+        cut = False
+        for here in np.unique(groups):  # sizes of a pair are alike, so its numbers of groups differ by a factor of two at most
+            rows = np.flatnonzero((groups == here) | (groups == 2 * here))
+            stacked = np.stack([counts_of(points[i], here) for i in rows])
+            tree = CountTree(stacked, n[rows], label[rows])
+            best = [np.empty(0, np.int64)] * 3
+            for a, b in tree.pairs(percent):
+                x, y = rows[a], rows[b]
+                off = (groups[x] == here) | (groups[y] == here)
+                off &= linked(np.minimum(rest[x], rest[y]), n[x], n[y], percent)  # holds in the first block of a linked pair at least
+                if most is None:
+                    yield from out(sid[x[off]], sid[y[off]])
+                    continue
+                a, b = a[off], b[off]
+                bound = np.minimum(stacked[a], stacked[b]).sum(axis=1, dtype=np.int64) / (n[rows[a]] + n[rows[b]])
+                best = [np.concatenate(c) for c in zip(best, (a, b, bound), strict=True)]
+                if len(best[0]) > PAIRS_HELD + len(rows) * most:
+                    best, cut = [c[likeliest(*best, most)] for c in best], True
+            if most is not None and len(best[0]):
+                kept = likeliest(*best, most)
+                cut |= len(kept) < len(best[0])
+                yield from out(sid[rows[best[0][kept].astype(np.int64)]], sid[rows[best[1][kept].astype(np.int64)]])
+        if cut:
+            yield pa.RecordBatch.from_arrays([whole.column("key").slice(0, 1).combine_chunks(), pa.array([None], pa.int64())], ["u", "v"])
+
+    def out(u, v):
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    rows = blocks.join(sets.select("sid", "point"), "sid").select("key", "sid", "label", "at", "point")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(across, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -244,16 +349,18 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         profile.where("sid is not null and doc_id is not null").groupBy("sid").agg(F.min_by(F.struct("doc_id", "n_shingles", "point"), "doc_id").alias("x"))
         .select("sid", "x.doc_id", F.col("x.n_shingles").alias("n"), "x.point"), "jaccard-sets")
 
-    members = profile.where("lead is not null and doc_id is not null").select("sid", F.explode("lead").alias("key"))
+    members = profile.where("lead is not null and doc_id is not null").select("sid", "n_shingles", F.posexplode("lead").alias("pos", "key"))
+    members = members.select("key", "sid", (F.shiftleft("n_shingles", 32) + F.col("pos")).alias("at"))  # set size and place, in one number
     block = Window.partitionBy("key")
     members = members.withColumns({"low": F.min("sid").over(block), "high": F.max("sid").over(block)}).where("low < high")
-    members = _with_partners(members.select("key", "sid").distinct(), percent)
+    members = _with_partners(members.select("key", "sid", "at").distinct(), percent)
     members = materialize(members.withColumn("u", F.min("sid").over(block)), "jaccard-blocks")
 
-    tested = materialize(members.where("u < sid").select("u", F.col("sid").alias("v")).distinct(), "jaccard-pairs")
+    shared = members.where("u < sid").groupBy("u", F.col("sid").alias("v")).agg(F.count("*").alias("blocks"))
+    tested = materialize(shared.groupBy("v").agg(F.max_by("u", F.struct("blocks", F.bitwise_not("u"))).alias("u")).select("u", "v"), "jaccard-pairs")
     links = _verified(tested, docs, sets, width, percent, "jaccard-first")
+    labels = components(links, "jaccard-first")
     for turn in range(TURNS):  # components meet by one member each, another one every turn, while that joins some
-        labels = components(links, "jaccard-turn")
         labelled = members.join(labels, members["sid"] == labels["node"], "left").select("key", "sid", F.coalesce("label", "sid").alias("label"))
         rank = F.xxhash64("sid", F.lit(turn))
         heads = labelled.groupBy("key", "label").agg(F.min(F.struct(rank.alias("rank"), "sid")).alias("head"))
@@ -265,54 +372,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         tested = tested.union(pairs)
         if more.limit(1).count() == 0:
             break
-        links = links.union(more)
-    labels = components(links, "jaccard-turns")
-
-    labelled = members.join(labels, members["sid"] == labels["node"], "left").select("key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bit_xor(F.xxhash64("sid")).alias("mark"))
-    mixed = mixed.where("low < high and n > 2").groupBy("n", "low", "high", "mark").agg(F.min("key").alias("key")).select("key")  # equal blocks once
-
-    labelled = _with_partners(labelled.join(mixed, "key", "left_semi"), percent)
-
-    def across(batches):
-        held, last = [], None
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if keys[a] != last:
-                    yield from search(held)
-                    held, last = [], keys[a]
-                held.append(batch.slice(a, b - a))
-        yield from search(held)
-
-    def search(held):
-        if not held:
-            return
-        whole = pa.Table.from_batches(held)
-        sid, label, n = (whole.column(c).to_numpy() for c in ("sid", "label", "n"))
-        points, key = whole.column("point").to_pylist(), whole.column("key")[0].as_py()
-        keys = lru_cache(maxsize=KEYS_KEPT)(lambda i: frozenset(whole.column("keys")[i].as_py()))  # only of rows in surviving pairs
-        groups = np.array([len(p) for p in points])
-        for here in np.unique(groups):  # sizes of a pair are alike, so its numbers of groups differ by a factor of two at most
-            rows = np.flatnonzero((groups == here) | (groups == 2 * here))
-            tree = CountTree(np.stack([counts_of(points[i], here) for i in rows]), n[rows])
-            for a, b in tree.pairs(percent):
-                a, b = rows[a], rows[b]
-                off = (label[a] != label[b]) & ((groups[a] == here) | (groups[b] == here))
-                once = [(i, j) for i, j in zip(a[off].tolist(), b[off].tolist(), strict=True) if min(keys(i) & keys(j)) == key]  # only in their first common block
-                u, v = (sid[list(x)] for x in zip(*once, strict=True)) if once else ((), ())
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
-
-    labelled = materialize(labelled, "jaccard-mixed")
-    own = labelled.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # as many as the document's first shingles at most
-    found = labelled.join(sets.select("sid", "n", "point").join(own, "sid"), "sid").select("key", "sid", "label", "n", "point", "keys")
-    found = found.repartition("key").sortWithinPartitions("key").mapInArrow(across, "u long, v long")
-    found = materialize(found.join(tested, ["u", "v"], "left_anti"), "jaccard-across")
-    more = _verified(found, docs, sets, width, percent, "jaccard-across")
-    links = links.union(more)
-    labels = components(links, "jaccard-all")
+        links, labels = links.union(more), _joined(labels, more, "jaccard-turn")
+    blocks = members
+    for most in [*(PARTNERS * 4**i for i in range(ROUNDS)), None]:
+        labelled = blocks.join(labels, blocks["sid"] == labels["node"], "left").select("key", "sid", "at", F.coalesce("label", "sid").alias("label"))
+        places = F.sum(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))).alias("places")
+        mixed = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bit_xor(F.xxhash64("sid")).alias("mark"), places)
+        mixed = mixed.where("low < high and n > 2").groupBy("n", "low", "high", "mark").agg(F.min_by("key", "places").alias("key")).select("key")  # equal blocks once: the first in the order
+        labelled = materialize(_with_partners(labelled.join(mixed, "key", "left_semi"), percent), "jaccard-mixed")
+        found = materialize(_across(labelled, sets, percent, most), "jaccard-found")
+        pairs = materialize(found.where("v is not null").join(tested, ["u", "v"], "left_anti"), "jaccard-across")
+        more = _verified(pairs, docs, sets, width, percent, "jaccard-across")
+        links, tested = links.union(more), tested.union(pairs)
+        labels = _joined(labels, more, "jaccard-across")
+        left = found.where("v is null").select(F.col("u").alias("key"))
+        if left.limit(1).count() == 0:
+            break
+        blocks = labelled.select("key", "sid", "at").join(left, "key", "left_semi")
 
     named = sets.select("sid", "doc_id").join(labels, sets["sid"] == labels["node"], "left").select("sid", "doc_id", F.coalesce("label", "sid").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from sparkdesk.llm.jaccard import CountTree, counts_of, lead_size, linked, near_duplicates, one_of_each_group, point
+from sparkdesk.llm.jaccard import CountTree, counts_of, lead_size, likeliest, linked, near_duplicates, one_of_each_group, point
 
 
 def shingles(text):
@@ -107,3 +107,36 @@ def test_lead_size_is_the_smallest_safe_one():
     for n in range(1, 200):
         least = next(s for s in range(n + 1) if 100 * s >= 75 * n)  # a partner shares so many members at least
         assert lead_size(n, 75) == n - least + 1
+
+
+def borderline(rng, copies, edits):
+    """Copies of one text with so many edits that only some of them link with each other."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(copies):
+        mine = base[:]
+        for at in rng.sample(range(150), edits):
+            mine[at] = word()
+        texts.append(" ".join(mine))
+    return texts
+
+
+def test_links_of_a_dense_group_grow_with_its_members(frame):
+    texts = borderline(random.Random(11), 160, 2)
+    rows = near_duplicates(frame(texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute(dict(enumerate(texts)))
+    assert sum(r["n_links"] for r in rows) <= 4 * len(texts)  # one partner a member, not one per block
+
+
+def test_blocks_with_more_partners_are_searched_again(frame, monkeypatch):
+    """With one partner a round the rest comes with later rounds, the last of them unbounded."""
+    rng = random.Random(12)
+    texts = borderline(rng, 60, 2) + borderline(rng, 60, 3)
+    monkeypatch.setattr("sparkdesk.llm.jaccard.PARTNERS", 1)
+    monkeypatch.setattr("sparkdesk.llm.jaccard.ROUNDS", 1)
+    assert found(frame(texts)) == brute(dict(enumerate(texts)))
+
+
+def test_likeliest_partners():
+    a, b = np.array([0, 0, 0, 1]), np.array([1, 2, 3, 2])
+    assert likeliest(a, b, np.array([0.9, 0.5, 0.4, 0.8]), 1).tolist() == [0, 2, 3]
