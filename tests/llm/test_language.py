@@ -85,3 +85,55 @@ def test_a_rare_language_is_calibrated_too(spark):
     assert models.langs == ["en", "xx"] and np.isfinite(models.spread).all()
     new = spark.createDataFrame([(2, say("vwxyz"), None), (3, say("abcde"), None)], "doc_id long, text string, lang string")
     assert {r["doc_id"]: r["lang_pred"] for r in language.identified(new, models).collect()} == {2: "xx", 3: "en"}
+
+
+def say(rng, letters, words=12):
+    return " ".join("".join(rng.choice(list(letters), 4)) for _ in range(words))
+
+
+def test_all_runs_of_a_language_are_kept(spark):
+    """More different runs than 400,000, with the probabilities that all of them give."""
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzßäöü"), 20_000)) for _ in range(50)]
+    df = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)] + [(99, "und", "de")], "doc_id long, text string, lang string")
+    models = language.fit(df)
+    run, _, _ = language.runs_of(texts, 4)
+    keys, counts = np.unique(run, return_counts=True)
+    whole = language.Models(["de", "xx"], [np.unique(language.runs_of(["und"], 4)[0], return_counts=True), (keys, counts)])
+    assert len(keys) > 400_000 and (models.tables[4].find(keys) >= 0).all()
+    assert np.array_equal(models.runs(keys, 4), whole.runs(keys, 4))
+    assert np.allclose(models.entropies(texts)[0], whole.entropies(texts)[0])
+
+
+def test_calibration_takes_all_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, say(rng, "abcde" if i % 3 else "cdefg", 2 + i % 20), "en" if i % 3 else "xx") for i in range(4500)]
+    models = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    entropies, units, _ = models.entropies([r[1] for r in rows])
+    own = np.array([models.langs.index(r[2]) for r in rows])
+    for i in range(2):
+        mine = entropies[own == i, i]
+        assert np.isclose(models.mean[i], np.median(mine)) and np.isclose(models.spread[i], 1.4826 * np.median(np.abs(mine - np.median(mine))) + 0.05)
+    likelihood = [np.log(models.shares(entropies, units, heat)[np.arange(len(own)), own] + 1e-9).mean() for heat in language.HEATS]
+    assert models.heat == language.HEATS[int(np.argmax(likelihood))]
+
+
+def test_tables_in_the_shared_folder_give_the_same_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    letters = {"en": "abcdefgh", "xx": "defghijk", "日": "日本語文章の"}
+    rows = [(i, say(rng, letters[lang], 1 + i % 30), lang) for i, lang in enumerate(list(letters) * 40)]
+    rows += [(500, None, "en"), (501, "", "en"), (502, "12 !", "zz"), (502, "abcd", None), (None, "🙂 abcd" * 3000, "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    new = df.union(spark.createDataFrame([(600, "qqqq wxyz", None), (None, None, None), (602, "abc 日本 qq", None)], df.schema))
+    held = language.fit(df)
+    monkeypatch.setattr(language, "CHUNK_CELLS", 600)
+    stored = language.fit(df, held_cells=0)
+    assert isinstance(stored, language.Stored) and stored.langs == held.langs and stored.heat == held.heat
+    assert np.allclose(stored.mean, held.mean) and np.allclose(stored.spread, held.spread)
+    assert language.dealt(new, 4, 3).select("_chunk").distinct().count() > 10
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    a, b = (sorted(language.identified(new, m).collect(), key=key) for m in (held, stored))
+    assert len(a) == len(b) == len(rows) + 3
+    for x, y in zip(a, b, strict=True):
+        assert x[:4] == y[:4] and x["rejected"] == y["rejected"]
+        assert np.allclose([x["score"], x["cross_entropy"]], [y["score"], y["cross_entropy"]], atol=1e-5), (x, y)
